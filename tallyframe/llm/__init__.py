@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from tallyframe.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from tallyframe.llm.packing import op8_packing
+from tallyframe.llm.secrets import op3_secrets
 from tallyframe.llm.sharding import op7_sharding
 
 
 def queries():
-    return {"op7_sharding": op7_sharding, "op10_exact_dedup": op10_exact_dedup}
+    return {"op3_secrets": op3_secrets, "op7_sharding": op7_sharding, "op8_packing": op8_packing, "op10_exact_dedup": op10_exact_dedup}
 
 
 def oracle_sql():

@@ -50,3 +50,14 @@ def text_of(column: str = "text"):
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def arrow_map(df: DataFrame, function, schema: str, rows: int = 500) -> DataFrame:
+    """``df.mapInArrow`` in record batches of ``rows`` rows, so that long texts don't fill a worker; stored."""
+    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        return stored(df.mapInArrow(function, schema), "rows")
+    finally:
+        spark.conf.set(key, before)

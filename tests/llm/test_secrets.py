@@ -1,0 +1,49 @@
+import hashlib
+import random
+import re
+import zlib
+
+from tallyframe.llm.secrets import BASE62, scan, scan_secrets
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text):
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(found))
+
+
+def test_base_spans_match_plain_patterns():
+    rng = random.Random(5)
+    parts = ["password", "PassWord", "passwd", "secret", "token", "api_key", "APIKEY", "apikey", "=", ":", " ", '"', "'", "AKIA", "AKIAAB12CD34EF56GH", "abcdef0123456789", "x", "é", "İ", "ſ", "K", "toKen", "0123456789abcdef", "secretoken", "\n", "abc123+/_.=-", "a" * 11, "zz"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert ",".join(f"{k}:{a}:{b}" for a, b, k in scan(text) if k in ("assign", "access", "hex")) == brute(text), text
+
+
+def checksummed(prefix, body):
+    n, s = zlib.crc32(body.encode()), ""
+    for _ in range(6):
+        n, d = divmod(n, 62)
+        s = BASE62[d] + s
+    return prefix + body + s
+
+
+def test_checksummed_tokens():
+    good = checksummed("ghp_", "zR" * 15)
+    assert scan(f"see {good}.") == [(4, 4 + len(good), "github")]
+    assert scan(f"see {good[:-1]}{'1' if good[-1] != '1' else '2'}.") == []
+    assert scan(checksummed("npm_", "Qw" * 15))[0][2] == "npm"
+
+
+def test_rows_nulls_empty_and_long_texts(spark):
+    rows = [(1, None), (2, ""), (3, "x " * 300_000 + "token=abcdefghijklmnop"), (3, "x " * 300_000 + "token=abcdefghijklmnop"), (None, "AKIA" + "Z" * 20)]
+    docs = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, spans string")
+    got = sorted(scan_secrets(docs).collect(), key=str)
+    want = sorted(((i, brute(t or "")) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r.spans) for r in got), key=str) == want
+    assert {r.base_sha256 for r in got if r.spans == ""} == {hashlib.sha256(b"").hexdigest()}
+    assert sum(r.n_assign for r in got) == 2 and sum(r.n_access for r in got) == 1
+    assert scan_secrets(docs.limit(0)).count() == 0
