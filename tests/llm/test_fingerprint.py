@@ -1,0 +1,67 @@
+import hashlib
+import math
+from collections import Counter
+
+import numpy as np
+
+from tallyframe.llm import fingerprint as f
+
+
+def entropy(window):
+    return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
+
+
+def test_ranks_follow_the_entropy_of_each_window():
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 107, 500).astype(np.uint8)
+    for at, rank in enumerate(f.ranks(data)):
+        want = 1000 * math.exp(-(((entropy(data[at : at + f.WINDOW].tolist()) - f.COMMON) / f.SPREAD) ** 2) / 2)
+        assert abs(rank - want) <= 2
+
+
+def words(seed, n):
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(n))
+
+
+def test_likeness_of_equal_edited_and_other_texts():
+    for n in (20, 100, 600, 4000):
+        a, b = words(n, n), words(n + 1, n)
+        e = f.edited(a, b)
+        assert f.likeness(f.digest(a), f.digest(a)) == 1.0
+        assert 0.35 < f.likeness(f.digest(a), f.digest(e)) < 0.95
+        assert f.likeness(f.digest(a), f.digest(b)) < 0.1
+    assert f.likeness(f.digest(""), f.digest("")) == 1.0 and f.likeness(f.digest(""), f.digest("abc")) == 0.0
+
+
+def brute(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    out = []
+    for k, (i, t) in enumerate(rows):
+        t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
+        e = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
+        d = f.digest(t)
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), d.tobytes(), f.digest(e).tobytes(), f.likeness(d, f.digest(e)), f.likeness(d, f.digest(after))))
+    return out
+
+
+def found(df):
+    import base64
+
+    got = df.collect()
+    return sorted(((r.doc_id, r.n_chars, r.edited_sha256, base64.b64decode(r.fingerprint), base64.b64decode(r.edited_fingerprint), r.near_edited, r.near_next) for r in got), key=str)
+
+
+def test_matches_brute_force_over_many_partitions(spark):
+    rows = [(7 * i, words(i, 5 + i % 90) + ("é漢" * (i % 3))) for i in range(150)]
+    rows += [(1, None), (2, ""), (3, "x"), (4, "same"), (5, "same"), (6, words(9, 30_000)), (None, "no id")]
+    docs = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, packed string").repartition(6)
+    assert found(f.fingerprints(docs)) == sorted(brute(rows), key=str)
+
+
+def test_small_tables(spark):
+    one = spark.createDataFrame([(1, words(3, 50))], "doc_id long, text string")
+    assert found(f.fingerprints(one)) == brute([tuple(one.first())])
+    assert f.fingerprints(one.limit(0)).count() == 0
+    twice = f.fingerprints(one.union(one)).collect()
+    assert len(twice) == 2 and twice[0].near_next == 1.0
