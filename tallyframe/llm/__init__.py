@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from tallyframe.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tallyframe.llm.fingerprint import op4_fingerprints
+from tallyframe.llm.near_dedup import op6_near_dedup
 from tallyframe.llm.packing import op8_packing
+from tallyframe.llm.quality import op2_quality
 from tallyframe.llm.secrets import op3_secrets
 from tallyframe.llm.sharding import op7_sharding
 
 
 def queries():
-    return {"op3_secrets": op3_secrets, "op4_fingerprints": op4_fingerprints, "op7_sharding": op7_sharding, "op8_packing": op8_packing, "op10_exact_dedup": op10_exact_dedup}
+    return {
+        "op2_quality": op2_quality,
+        "op3_secrets": op3_secrets,
+        "op4_fingerprints": op4_fingerprints,
+        "op6_near_dedup": op6_near_dedup,
+        "op7_sharding": op7_sharding,
+        "op8_packing": op8_packing,
+        "op10_exact_dedup": op10_exact_dedup,
+    }
 
 
 def oracle_sql():

@@ -1,0 +1,68 @@
+import random
+import zlib
+
+import numpy as np
+
+from tallyframe.llm import quality as q
+
+
+def corpus(n, seed=1):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    good = lambda: ". ".join(" ".join(rng.choice(words) for _ in range(rng.randint(4, 12))).capitalize() for _ in range(rng.randint(1, 20))) + "."
+    bad = [lambda: " ".join(w.upper() + "!!" for w in good().split()), lambda: " ".join([rng.choice(words)] * 60), lambda: " | ".join(good().split())]
+    return [(i, *((rng.choice(bad)(), 0) if i % 6 == 0 else (good(), 1))) for i in range(n)]
+
+
+def test_ftrl_matches_a_plain_loop():
+    rng = random.Random(2)
+    examples = [(np.array(sorted(rng.sample(range(20), 4)) + [q.DIMENSION]), np.array([rng.random() for _ in range(5)]), rng.randint(0, 1)) for _ in range(60)]
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= q.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * q.L1) / ((q.BETA + n[i] ** 0.5) / q.ALPHA + q.L2)
+
+    for _ in range(2):
+        for at, x, y in examples:
+            w = [weight(i) for i in at]
+            g = 1 / (1 + np.exp(-sum(a * b for a, b in zip(w, x)))) - y
+            for i, xi, wi in zip(at, x, w):
+                s = ((n.get(i, 0.0) + (g * xi) ** 2) ** 0.5 - n.get(i, 0.0) ** 0.5) / q.ALPHA
+                z[i] = z.get(i, 0.0) + g * xi - s * wi
+                n[i] = n.get(i, 0.0) + (g * xi) ** 2
+    got = q.ftrl(examples, 2)
+    for i in [*range(20), q.DIMENSION]:
+        assert abs(got[i] - (weight(i) if i in z else 0.0)) < 1e-5
+
+
+def test_margin_is_the_sparse_dot_product():
+    weights = np.random.default_rng(0).normal(size=q.DIMENSION + 1).astype(np.float32)
+    for text in ("", "one", "Two words", "THREE!! three, Three. 3 three three"):
+        at, x = q.sparse(text)
+        assert abs(float(weights[at] @ x) - q.margin(text, weights)) < 1e-4
+
+
+def test_held_out_accuracy_edge_rows_and_only_allowed_labels(spark):
+    rows = corpus(900)
+    docs = [(i, t, "x", 7) for i, t, _ in rows] + [(9001, None, "x", 7), (9002, "", "x", 7), (None, "Some words.", "x", 7), (9003, "word " * 100_000, "x", 7), (9003, "word " * 100_000, "x", 7)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, label string, score int").repartition(5)
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (9001, None)], "doc_id long, quality int")
+    got = q.classify(docs, labels).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) + 5 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    assert {i for i, _, _ in rows if by[i].held_out} == held and not by[None].held_out
+    assert np.mean([by[i].predicted == y for i, _, y in rows if i in held]) > 0.95
+    spoiled = spark.createDataFrame([(i, 1 - y if i in held else y) for i, _, y in rows], "doc_id long, quality int")
+    again = {r.doc_id: r.score for r in q.classify(docs, spoiled).collect()}
+    assert all(again[i] == by[i].score for i, _, _ in rows)
+
+
+def test_no_labels_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in q.classify(docs, none).collect()} == {0.5}
+    assert q.classify(docs.limit(0), none).count() == 0
