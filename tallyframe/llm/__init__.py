@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyframe.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from tallyframe.llm.fingerprint import op4_fingerprints
+from tallyframe.llm.line_dedup import OP1_SQL, op1_line_dedup
 from tallyframe.llm.near_dedup import op6_near_dedup
 from tallyframe.llm.packing import op8_packing
 from tallyframe.llm.quality import op2_quality
@@ -13,6 +14,7 @@ from tallyframe.llm.sharding import op7_sharding
 
 def queries():
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_quality": op2_quality,
         "op3_secrets": op3_secrets,
         "op4_fingerprints": op4_fingerprints,
@@ -24,4 +26,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op10_exact_dedup": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op10_exact_dedup": OP10_SQL}
