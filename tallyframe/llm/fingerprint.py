@@ -19,7 +19,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.shared import documents, new_path, partitions, text_of
+from tallyframe.llm.shared import documents, importable, new_path, partitions, text_of
 
 WINDOW, POINTS = 16, 4
 BITS, HASHES, FULL = 1024, 3, 160
@@ -228,18 +228,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are one feature, filled up with zeros. A table of one row is its own next; an
     empty table gives an empty result. Other columns are ignored.
 
-    Texts are range-partitioned by id in compressed form, and each partition is
+    Texts are range-partitioned by id in compressed form (they are compressed once
+    more for the ranges, which costs less than to store them), and each partition is
     walked in order; only its first and last texts are looked at again, to close
     the gaps between partitions.
     """
     spark = docs.sparkSession
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
+    importable(spark)
     spark.conf.set(key, "500")
     try:
-        path = new_path(spark, "fingerprint-texts")
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(_packed, "doc_id long, packed binary").write.parquet(path)
-        texts = spark.read.schema("doc_id long, packed binary").parquet(path)
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(_packed, "doc_id long, packed binary")
         ordered = texts.repartitionByRange(partitions(spark), "doc_id", F.length("packed")).sortWithinPartitions("doc_id", F.length("packed"), "packed")
         walked_path = new_path(spark, "fingerprint-rows")
         ordered.mapInArrow(_walk, WALKED).write.option("compression", "zstd").parquet(walked_path)

@@ -20,7 +20,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.shared import arrow_map, documents, text_of
+from tallyframe.llm.shared import arrow_map, documents, importable, text_of
 
 #: Weights, and what a family's share is multiplied by: words, word pairs, shapes, shape pairs, shape triples, repeats.
 DIMENSION = 1 << 17
@@ -127,6 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     """
     import numpy as np
 
+    importable(docs.sparkSession)
     chosen = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     chosen = chosen.where("doc_id IS NOT NULL AND label IN (0, 1) AND crc32(cast(doc_id AS string)) % 4 <> 2").dropDuplicates(["doc_id"])
     chosen = chosen.withColumn("place", F.xxhash64("doc_id")).orderBy("place").limit(sample)

@@ -8,8 +8,10 @@ private temporary one used.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +54,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver found it, beside what is shipped to them."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def arrow_map(df: DataFrame, function, schema: str, rows: int = 500) -> DataFrame:
     """``df.mapInArrow`` in record batches of ``rows`` rows, so that long texts don't fill a worker; stored."""
     key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
     before = spark.conf.get(key)
+    importable(spark)
     spark.conf.set(key, str(rows))
     try:
         return stored(df.mapInArrow(function, schema), "rows")
