@@ -63,7 +63,7 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def arrow_map(df: DataFrame, function, schema: str, rows: int = 500) -> DataFrame:
+def arrow_map(df: DataFrame, function, schema, rows: int = 500) -> DataFrame:
     """``df.mapInArrow`` in record batches of ``rows`` rows, so that long texts don't fill a worker; stored."""
     key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
     before = spark.conf.get(key)
