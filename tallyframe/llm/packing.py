@@ -29,20 +29,24 @@ def cut_pieces(docs: DataFrame, max_tokens: int, tokenizer: str, id_col: str, te
     def pieces(batches):
         import pyarrow as pa
 
-        table = chunk_ids(tokenizer)
+        table, zero = chunk_ids(tokenizer), bytes(4)
         for batch in batches:
             out, ids = [], iter(batch.column(0).to_pylist())
-            for texts in portions(batch.column(1).to_pylist()):
-                for data in table.ids(texts):
-                    data, doc = data + bytes(4), next(ids)
-                    for n, at in enumerate(range(0, len(data), 4 * max_tokens)):
-                        part = data[at : at + 4 * max_tokens]
-                        out.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
+            for texts in portions(batch.column(1)):
+                flat, ends = table.column(texts)
+                ends = ends.tolist()
+                for a, b in zip(ends, ends[1:]):
+                    doc, n = next(ids), b - a + 1
+                    for k, at in enumerate(range(0, n, max_tokens)):
+                        length = min(max_tokens, n - at)
+                        last = at + length == n  # ends with id 0, which isn't in the table
+                        crc = zlib.crc32(flat[a + at : a + at + length - last])
+                        out.append((doc, k, at, length, zlib.crc32(zero, crc) if last else crc))
             columns = list(zip(*out)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return arrow_map(docs.select(F.col(id_col).cast("long"), text_of(text_col)), pieces, PIECES)
+    return arrow_map(docs.select(F.col(id_col).cast("long"), text_of(text_col)), pieces, PIECES, 3000)
 
 
 def best_fit(counts: dict[int, int], capacity: tuple[int, int, int], weights: tuple[float, float, float] = (1.0, 1e-4, 1e-4), rule: str = "norm") -> list[tuple[int, int, int, int, int]]:
