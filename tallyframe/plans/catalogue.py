@@ -1,11 +1,529 @@
-"""The named queries and their DuckDB equivalents."""
+"""The named queries over the driver's tables and their DuckDB equivalents."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tallyframe.functions import checks, keys
+from tallyframe.operators import census, chain, compare, decode, layout, sheets, snapshots
+from tallyframe.plans import bindings as b
+from tallyframe.plans.bindings import table
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLES)
+
+
+CHECK_COLUMNS = ["mesa", *b.LINES, "NO_MARCADO", "SUMA_TOTAL", "TOTAL_E11", "calculada", "dif_suma", "dif_e11", "cuadra_suma", "cuadra_e11", "incompleta", "alerta"]
+
+
+def _checked(spark, d, policy="zero_all"):
+    return sheets.check_sheets(b.sheets(spark, d), policy, b.LINES[:5])
+
+
+# sheets
+
+
+@query(f"WITH {b.checked_sql('zero_all')} SELECT {', '.join(CHECK_COLUMNS)} FROM checked")
+def arithmetic_check(spark, d):
+    return _checked(spark, d).select(*CHECK_COLUMNS)
+
+
+@query(f"WITH {b.checked_sql('strict')} SELECT {', '.join(CHECK_COLUMNS)} FROM checked")
+def arithmetic_check_strict(spark, d):
+    return _checked(spark, d, "strict").select(*CHECK_COLUMNS)
+
+
+@query(f"WITH {b.checked_sql('zero_all')} SELECT alerta, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM checked GROUP BY alerta")
+def alert_histogram(spark, d):
+    return sheets.histogram(_checked(spark, d), "alerta")
+
+
+@query(f"WITH {b.checked_sql('strict')} SELECT mesa, alerta, CASE alerta WHEN 'ALTA' THEN 0 WHEN 'MEDIA' THEN 1 WHEN 'INCOMPLETO' THEN 2 WHEN 'NINGUNA' THEN 3 ELSE 9 END AS orden FROM checked")
+def alert_ranked(spark, d):
+    return sheets.ranked(_checked(spark, d, "strict"), "mesa").select("mesa", "alerta", checks.alert_rank(F.col("alerta")).alias("orden"))
+
+
+_PIVOT = ", ".join(f"max_by(valor, ord) FILTER (WHERE etiqueta = '{x}') AS {x}" for x in b.LINES)
+
+
+@query(f"WITH {b.READINGS} SELECT mesa, {_PIVOT} FROM readings GROUP BY mesa")
+def pivot_readings(spark, d):
+    return sheets.pivot_readings(b.readings(spark, d), ["mesa"], b.LINES).select("mesa", *b.LINES)
+
+
+@query(f"WITH {b.READINGS} SELECT mesa, etiqueta, ord, valor FROM (SELECT *, row_number() OVER (PARTITION BY mesa, etiqueta ORDER BY ord DESC, valor DESC) AS n FROM readings) WHERE n = 1")
+def dedupe_keep_last(spark, d):
+    return sheets.keep_last(b.readings(spark, d), ["mesa", "etiqueta"], "ord")
+
+
+@query(f"WITH {b.READINGS} SELECT mesa, etiqueta, ord, valor FROM (SELECT *, row_number() OVER (PARTITION BY mesa, etiqueta ORDER BY ord, valor) AS n FROM readings) WHERE n = 1")
+def dedupe_keep_first(spark, d):
+    return sheets.keep_first(b.readings(spark, d), ["mesa", "etiqueta"], "ord")
+
+
+@query(r"""SELECT strategy, count(*) AS actas, count_if(ok) AS cuadran, round(100.0 * count_if(ok) / count(*), 2) AS pct FROM (
+  SELECT 'cero' AS strategy, cuadra_suma AND cuadra_e11 AS ok FROM (WITH """ + b.checked_sql("zero_all") + """ SELECT * FROM checked)
+  UNION ALL SELECT 'estricta', coalesce(cuadra_suma AND cuadra_e11, FALSE) FROM (WITH """ + b.checked_sql("strict") + """ SELECT * FROM checked)) GROUP BY strategy""")
+def strategy_compare(spark, d):
+    ok = F.coalesce(F.col("cuadra_suma") & F.col("cuadra_e11"), F.lit(False)).alias("ok")
+    rows = _checked(spark, d).select(F.lit("cero").alias("strategy"), ok).unionByName(_checked(spark, d, "strict").select(F.lit("estricta").alias("strategy"), ok))
+    n = F.count(F.lit(1))
+    return rows.groupBy("strategy").agg(n.alias("actas"), F.count_if("ok").alias("cuadran"), F.round(100.0 * F.count_if("ok") / n, 2).alias("pct"))
+
+
+# codes, names and paths
+
+_RAW = "(CASE WHEN c_custkey % 3 = 0 THEN '00' ELSE '' END || c_custkey::VARCHAR || CASE WHEN c_custkey % 7 = 0 THEN 'A' ELSE '' END || ' ')"
+
+
+@query(f"SELECT c_custkey, CASE WHEN regexp_matches(trim({_RAW}), '^[0-9]+$') THEN coalesce(nullif(ltrim(trim({_RAW}), '0'), ''), '0') ELSE trim({_RAW}) END AS clave FROM customer")
+def key_normalize(spark, d):
+    c = table(spark, d, "customer")
+    raw = F.concat(F.when(F.col("c_custkey") % 3 == 0, "00").otherwise(""), F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 7 == 0, "A").otherwise(""), F.lit(" "))
+    return c.select("c_custkey", keys.normalize_key(raw).alias("clave"))
+
+
+@query("SELECT s_suppkey, CASE WHEN length(s_nationkey::VARCHAR) >= 2 THEN s_nationkey::VARCHAR ELSE lpad(s_nationkey::VARCHAR, 2, '0') END AS dep, CASE WHEN length(s_suppkey::VARCHAR) >= 3 THEN s_suppkey::VARCHAR ELSE lpad(s_suppkey::VARCHAR, 3, '0') END AS mesa FROM supplier")
+def code_pad(spark, d):
+    return table(spark, d, "supplier").select("s_suppkey", keys.pad_code("s_nationkey", 2).alias("dep"), keys.pad_code("s_suppkey", 3).alias("mesa"))
+
+
+@query("SELECT doc_id, regexp_replace(coalesce(text, ''), '[^0-9]', '', 'g') AS digitos FROM documents")
+def digits_only(spark, d):
+    return table(spark, d, "documents").select("doc_id", keys.digits_only("text").alias("digitos"))
+
+
+@query("""SELECT page_id, CASE WHEN len(p) >= 7 THEN p[-7] ELSE '' END AS ejemplar, CASE WHEN len(p) >= 7 THEN p[-6] ELSE '' END AS dep, CASE WHEN len(p) >= 7 THEN p[-2] ELSE '' END AS mesa, p[-1] AS archivo
+FROM (SELECT page_id, string_split(CASE WHEN page_id % 4 = 0 THEN url ELSE 'x/DELEGADOS/' || replace(url, '//', '/a/b/') || '/h.pdf' END, '/') AS p FROM pages)""")
+def url_path_parse(spark, d):
+    path = F.when(F.col("page_id") % 4 == 0, F.col("url")).otherwise(F.concat(F.lit("x/DELEGADOS/"), F.replace("url", F.lit("//"), F.lit("/a/b/")), F.lit("/h.pdf")))
+    rows = table(spark, d, "pages").select("page_id", path.alias("path"))
+    return rows.withColumn("k", keys.parse_path("path")).select("page_id", "k.ejemplar", "k.dep", "k.mesa", F.element_at(F.split("path", "/"), -1).alias("archivo"))
+
+
+_ROUTE = "CASE page_id % 4 WHEN 0 THEN url || '/actas-documentos/mesas/' WHEN 1 THEN url || '/actas-publicadas/consolidado' WHEN 2 THEN url || 'avance-actas' ELSE url END"
+
+
+@query(f"SELECT page_id, CASE WHEN r LIKE '%actas-documentos%' AND rtrim(r, '/') LIKE '%mesas' THEN 'documentos' WHEN r LIKE '%actas-publicadas/consolidado%' THEN 'consolidado' WHEN r LIKE '%avance-actas%' THEN 'avance' ELSE 'otro' END AS clase FROM (SELECT page_id, {_ROUTE} AS r FROM pages)")
+def route_classify(spark, d):
+    return table(spark, d, "pages").select("page_id", keys.route_class(F.expr(_ROUTE.replace("url || ", "url || "))).alias("clase"))
+
+
+@query("SELECT p_partkey, CASE WHEN lower(n) LIKE '%.pdf' THEN n ELSE n || '.pdf' END AS archivo FROM (SELECT p_partkey, trim(p_name || CASE WHEN p_partkey % 3 = 0 THEN '.PDF' ELSE ' ' END) AS n FROM part)")
+def pdf_suffix_fix(spark, d):
+    name = F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, ".PDF").otherwise(" "))
+    return table(spark, d, "part").select("p_partkey", keys.pdf_name(name).alias("archivo"))
+
+
+@query("SELECT p_partkey, 'https://h/assets/temis/pdf/01/001/' || lpad(p_size::VARCHAR, 3, '0') || '/01/001/PRE/' || replace(replace(p_name, ' ', '%20'), '#', '%23') || '.pdf' AS url, 'out/PRE/01/001/' || lpad(p_size::VARCHAR, 3, '0') || '/01/001/' || p_name || '.pdf' AS path FROM part")
+def url_build(spark, d):
+    p = table(spark, d, "part").select("p_partkey", F.lit("01").alias("dep"), F.lit("001").alias("muni"), keys.pad_code("p_size", 3).alias("zona"), F.lit("01").alias("puesto"), F.lit("001").alias("mesa"), keys.pdf_name("p_name").alias("expected_name"))
+    return p.select("p_partkey", keys.record_url("https://h/").alias("url"), keys.record_path("out").alias("path"))
+
+
+@query("SELECT doc_id, octet_length(encode(text)) >= 800 AND text LIKE 'T%' AS valido, sha256(text) AS sha FROM documents")
+def content_valid(spark, d):
+    c = F.col("text").cast("binary")
+    return table(spark, d, "documents").select("doc_id", ((F.length(c) >= 800) & F.col("text").startswith("T")).alias("valido"), F.sha2(c, 256).alias("sha"))
+
+
+# copies
+
+
+def _pairs(spark, d):
+    return compare.discrepancies(b.copies(spark, d), ["mesa"])
+
+
+@query(f"WITH {b.COPIES}, {b.PAIRS} SELECT * FROM pairs")
+def copy_discrepancies(spark, d):
+    return compare.review_order(_pairs(spark, d), "abs_dif", "mesa", "etiqueta", "ej_a", "ej_b")
+
+
+_TRANSFERS = """moved AS (SELECT mesa, ej_a, ej_b, sum(CASE WHEN dif > 0 THEN dif ELSE 0 END)::BIGINT AS monto, coalesce(string_agg(CASE WHEN dif > 0 THEN etiqueta || '(+' || dif || ')' END, ';' ORDER BY etiqueta), '') AS ganan,
+  coalesce(string_agg(CASE WHEN dif < 0 THEN etiqueta || '(' || dif || ')' END, ';' ORDER BY etiqueta), '') AS pierden FROM pairs WHERE etiqueta LIKE 'CAND%' GROUP BY ALL HAVING sum(dif) = 0),
+transfers AS (SELECT *, CASE WHEN monto % 100 = 0 THEN 1 ELSE 0 END AS multiplo_100 FROM moved)"""
+
+
+@query(f"WITH {b.COPIES}, {b.PAIRS}, {_TRANSFERS} SELECT * FROM transfers")
+def copy_transfers(spark, d):
+    return compare.review_order(compare.transfers(_pairs(spark, d), ["mesa"]), "monto", "mesa", "ej_a", "ej_b")
+
+
+@query(f"""WITH {b.COPIES}, {b.PAIRS}, {_TRANSFERS}, n AS (SELECT (SELECT count(DISTINCT mesa) FROM copies) AS mesas, (SELECT count(DISTINCT mesa) FROM pairs) AS con_discrepancia, (SELECT count(DISTINCT mesa) FROM transfers) AS con_traslado,
+  (SELECT coalesce(sum(multiplo_100), 0)::BIGINT FROM transfers) AS traslados_100) SELECT *, round(100.0 * con_discrepancia / greatest(mesas, 1), 2) AS pct_discrepancia, round(100.0 * con_traslado / greatest(mesas, 1), 2) AS pct_traslado FROM n""")
+def copy_summary(spark, d):
+    pairs = _pairs(spark, d)
+    return compare.summary(b.copies(spark, d), pairs, compare.transfers(pairs, ["mesa"]), ["mesa"])
+
+
+@query("SELECT l_orderkey AS mesa, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS ejemplares FROM lineitem GROUP BY l_orderkey")
+def copy_presence(spark, d):
+    found = compare.presence(table(spark, d, "lineitem").withColumn("mesa", F.col("l_orderkey")), ["mesa"], "l_returnflag")
+    return found.select("mesa", F.concat_ws(",", "ejemplares").alias("ejemplares"))
+
+
+# census
+
+
+def _places(spark, d):
+    return census.check_places(b.votes(spark, d), b.census(spark, d), ["dep", "muni"])
+
+
+@query(f"WITH {b.VOTES} SELECT dep, muni, votos, mesas, habilitados, participacion, bandera FROM flagged")
+def census_participation(spark, d):
+    return census.review_order(_places(spark, d), "dep", "muni")
+
+
+@query(f"WITH {b.VOTES} SELECT dep, muni, mesa, votos, votos - 14 AS exceso FROM votes WHERE votos > 14")
+def census_cap_tables(spark, d):
+    return census.over_cap(b.votes(spark, d), ["dep", "muni", "mesa"], 14)
+
+
+@query(f"WITH {b.VOTES} SELECT count(*) AS puestos, sum(total)::BIGINT AS habilitados, sum(mesas)::BIGINT AS mesas, round(sum(total) / greatest(sum(mesas), 1), 2) AS media_por_mesa, round(max(total / greatest(mesas, 1)), 2) AS max_media_por_mesa FROM census")
+def census_summary(spark, d):
+    return census.summary(b.census(spark, d))
+
+
+@query(f"WITH {b.VOTES}, few AS (SELECT DISTINCT dep, muni FROM votes WHERE mesa % 60 = 1) SELECT c.* FROM census c ANTI JOIN few s ON c.dep = s.dep AND c.muni = s.muni")
+def places_without_votes(spark, d):
+    return census.without_votes(b.votes(spark, d).where("mesa % 60 = 1"), b.census(spark, d), ["dep", "muni"])
+
+
+# snapshots
+
+
+def _ends(spark, d):
+    rows = b.snapshots(spark, d)
+    last = rows.agg(F.max("snap_ord").alias("last"))
+    both = rows.join(F.broadcast(last))
+    return both.where("snap_ord = last - 1").drop("last"), both.where("snap_ord = last").drop("last")
+
+
+@query(f"""WITH {b.SNAPSHOTS}, {b.STEPS}, s AS (SELECT n.*, a.name AS na, c.name AS nc FROM steps n JOIN last ON n.snap_ord = last.last LEFT JOIN snaps a ON a.key = n.key AND a.snap_ord = n.snap_ord - 1 LEFT JOIN snaps c ON c.key = n.key AND c.snap_ord = n.snap_ord)
+SELECT key, 'anadida' AS tipo, NULL AS antes, nc AS ahora FROM s WHERE anadida UNION ALL SELECT key, 'eliminada', na, NULL FROM s WHERE eliminada UNION ALL SELECT key, 'hash_cambiado', na, nc FROM s WHERE hash_cambiado UNION ALL SELECT key, 'estado_cambiado', antes, ahora FROM s WHERE estado_cambiado""")
+def snapshot_diff(spark, d):
+    return snapshots.diff(*_ends(spark, d)).orderBy("tipo", "key")
+
+
+_COUNTERS = "counters AS (SELECT snap_ord, count_if(aqui) AS n_actas, count_if(anadida) AS anadida, count_if(eliminada) AS eliminada, count_if(hash_cambiado) AS hash_cambiado, count_if(estado_cambiado) AS estado_cambiado, count_if(eliminada) > 0 OR count_if(hash_cambiado) > 0 AS alerta FROM steps GROUP BY snap_ord)"
+
+
+@query(f"WITH {b.SNAPSHOTS}, {b.STEPS}, {_COUNTERS} SELECT * FROM counters")
+def snapshot_counters(spark, d):
+    return snapshots.counters(b.snapshots(spark, d))
+
+
+@query(f"WITH {b.SNAPSHOTS}, {b.STEPS}, {_COUNTERS} SELECT snap_ord, eliminada, hash_cambiado FROM counters WHERE alerta")
+def snapshot_alerts(spark, d):
+    return snapshots.counters(b.snapshots(spark, d)).where("alerta").select("snap_ord", "eliminada", "hash_cambiado")
+
+
+@query(f"WITH {b.SNAPSHOTS} SELECT status, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM snaps GROUP BY status")
+def status_distribution(spark, d):
+    return sheets.histogram(b.snapshots(spark, d), "status").orderBy(F.desc("n"), "status")
+
+
+@query(f"""WITH {b.SNAPSHOTS} SELECT p.status AS antes, {", ".join(f"count(*) FILTER (WHERE n.status = '{k}') AS a{k}" for k in range(1, 6))} FROM snaps p JOIN snaps n ON p.key = n.key AND n.snap_ord = p.snap_ord + 1, last WHERE n.snap_ord = last AND p.status <> n.status GROUP BY p.status""")
+def status_transitions(spark, d):
+    found = snapshots.transitions(*_ends(spark, d), [str(k) for k in range(1, 6)])
+    return found.select("antes", *[F.col(str(k)).alias(f"a{k}") for k in range(1, 6)])
+
+
+@query(f"WITH {b.SNAPSHOTS} SELECT snap_ord, snap_ts, count(*) AS n_actas, count(*) - lag(count(*)) OVER (ORDER BY snap_ord) AS cambio FROM snaps GROUP BY snap_ord, snap_ts")
+def growth_curve(spark, d):
+    return snapshots.growth(b.snapshots(spark, d))
+
+
+_HIST = f"WITH {b.SNAPSHOTS}, {b.HISTORY} "
+
+
+@query(_HIST + "SELECT key, first_seen, name, status, n_cambios, n_estados, eliminada_ts FROM hist")
+def sheet_history(spark, d):
+    h = snapshots.history(b.snapshots(spark, d))
+    return h.select("key", "first_seen", "name", "status", F.size("hash_changes").alias("n_cambios"), F.size("estado_changes").alias("n_estados"), "eliminada_ts")
+
+
+@query(_HIST + "SELECT key, first_seen, n_cambios, tardio, eliminada, regresion, substr(CASE WHEN n_cambios > 0 THEN before0 ELSE name END, 1, 16) AS hash_inicial, substr(name, 1, 16) AS hash_actual FROM hist WHERE n_cambios > 0 OR eliminada")
+def audit_report(spark, d):
+    report = snapshots.audit_order(snapshots.audit_report(snapshots.history(b.snapshots(spark, d)), 240))
+    return report.select("key", "first_seen", "n_cambios", "tardio", "eliminada", "regresion", "hash_inicial", "hash_actual")
+
+
+@query(_HIST + "SELECT count(*) AS actas, count_if(n_cambios > 0) AS con_cambio, count_if(tardio) AS tardias, count_if(eliminada) AS eliminadas, count_if((n_cambios > 0 OR eliminada) AND regresion) AS regresiones, round(100.0 * count_if(n_cambios > 0) / greatest(count(*), 1), 2) AS tasa_base FROM hist")
+def audit_base_rate(spark, d):
+    return snapshots.base_rate(snapshots.history(b.snapshots(spark, d)), 240)
+
+
+@query(_HIST + "SELECT key, first_seen FROM hist WHERE tardio")
+def late_changes(spark, d):
+    return snapshots.audited(snapshots.history(b.snapshots(spark, d)), 240).where("tardio").select("key", "first_seen")
+
+
+@query(_HIST + "SELECT key, status FROM hist WHERE regresion")
+def status_regressions(spark, d):
+    return snapshots.audited(snapshots.history(b.snapshots(spark, d))).where("regresion").select("key", "status")
+
+
+@query(_HIST + "SELECT key, name, eliminada_ts FROM hist WHERE eliminada")
+def removed_keys(spark, d):
+    return snapshots.history(b.snapshots(spark, d)).where("eliminada_ts IS NOT NULL").select("key", "name", "eliminada_ts")
+
+
+@query(f"""WITH {b.SNAPSHOTS}, {b.HISTORY}, {b.checked_sql('zero_all')} SELECT h2.key, h2.n_cambios, h2.eliminada, coalesce(k.alerta, '') AS estado FROM hist h2 LEFT JOIN checked k ON k.mesa = h2.key WHERE h2.n_cambios > 0 OR h2.eliminada""")
+def audit_with_state(spark, d):
+    report = snapshots.audit_report(snapshots.history(b.snapshots(spark, d)), 240)
+    state = _checked(spark, d).select(F.col("mesa").alias("key"), "alerta")
+    return report.join(state, "key", "left").select("key", "n_cambios", "eliminada", F.coalesce("alerta", F.lit("")).alias("estado"))
+
+
+# chain
+
+
+@query(f"WITH RECURSIVE {b.CHAIN} SELECT * FROM chain")
+def chain_build(spark, d):
+    return chain.build(b.chain_entries(spark, d), ["user_id"])
+
+
+@query(f"""WITH RECURSIVE {b.CHAIN}, tampered AS (SELECT user_id, seq, ts, CASE WHEN seq % 11 = 5 THEN sha256(sha_contenido) ELSE sha_contenido END AS sha_contenido, eslabon, eslabon_anterior FROM chain),
+p AS (SELECT *, coalesce(lag(eslabon) OVER (PARTITION BY user_id ORDER BY seq), 'GENESIS') AS prev FROM tampered) SELECT user_id, seq, eslabon_anterior = prev AND sha256(prev || sha_contenido || ts) = eslabon AS ok FROM p""")
+def chain_verify(spark, d):
+    links = chain.build(b.chain_entries(spark, d), ["user_id"])
+    tampered = links.withColumn("sha_contenido", F.when(F.col("seq") % 11 == 5, F.sha2(F.col("sha_contenido").cast("binary"), 256)).otherwise(F.col("sha_contenido")))
+    return chain.verify(tampered, ["user_id"]).select("user_id", "seq", "ok")
+
+
+# manifest
+
+
+@query("SELECT s.s_suppkey, lpad(n.n_regionkey::VARCHAR, 2, '0') AS dep, lpad(s.s_nationkey::VARCHAR, 3, '0') AS muni, r.r_name AS departamento, CASE WHEN s.s_nationkey % 5 = 0 THEN '' ELSE n.n_name END AS municipio FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey")
+def geo_enrichment(spark, d):
+    s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
+    tree = n.where("n_nationkey % 5 <> 0").select(keys.pad_code("n_nationkey", 3).alias("muni"), F.col("n_name").alias("municipio"))
+    region = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("s_nationkey"), keys.pad_code("n_regionkey", 2).alias("dep"), F.col("r_name").alias("departamento"))
+    rows = s.join(F.broadcast(region), "s_nationkey").withColumn("muni", keys.pad_code("s_nationkey", 3))  # the tree has 25 rows
+    return rows.join(F.broadcast(tree), "muni", "left").select("s_suppkey", "dep", "muni", "departamento", F.coalesce("municipio", F.lit("")).alias("municipio"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_custkey % 100 IN (1, 7) ORDER BY o_orderkey LIMIT 50")
+def record_filter_limit(spark, d):
+    o = table(spark, d, "orders").withColumn("dep", (F.col("o_custkey") % 100).cast("string"))
+    return o.where(keys.copy_filter("F,P", "o_orderstatus") & keys.copy_filter("1, 7", "dep")).orderBy("o_orderkey").limit(50).select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+def resume_anti_join(spark, d):
+    done = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(spark, d, "orders").select("o_orderkey").join(done, "o_orderkey", "left_anti")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')")
+def key_intersection(spark, d):
+    li = table(spark, d, "lineitem")
+    both = li.where("l_returnflag = 'R'").select("l_orderkey").intersect(li.where("l_returnflag = 'A'").select("l_orderkey"))
+    return table(spark, d, "orders").join(both, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey")
+
+
+@query("SELECT 'A' AS fuente, o_orderstatus AS estado, count(*) AS n FROM orders GROUP BY ALL UNION ALL SELECT 'B', l_linestatus, count(*) FROM lineitem GROUP BY ALL")
+def tagged_union(spark, d):
+    n = F.count(F.lit(1)).alias("n")
+    one = table(spark, d, "orders").groupBy(F.lit("A").alias("fuente"), F.col("o_orderstatus").alias("estado")).agg(n)
+    return one.unionByName(table(spark, d, "lineitem").groupBy(F.lit("B").alias("fuente"), F.col("l_linestatus").alias("estado")).agg(n))
+
+
+# ink and layout
+
+_FLAGS = ["suma_vacia_con_votos", "sin_ningun_voto", "suma_con_todo_vacio", "todos_candidatos_llenos", "agregados_sin_suma", "e11_vacio_con_votos"]
+
+
+def _ink(spark, d):
+    rows = b.ink(spark, d)
+    return rows.select("mesa", *[v.alias(k) for k, v in checks.ink_flags({c: F.col(c) for c in rows.columns if c != "mesa"}).items()])
+
+
+@query(f"WITH {b.INK} SELECT mesa, {', '.join(_FLAGS)}, n_banderas, n_candidatos, prioridad FROM flags")
+def ink_flags(spark, d):
+    return _ink(spark, d).select("mesa", *_FLAGS, "n_banderas", "n_candidatos", "prioridad")
+
+
+@query(f"WITH {b.INK} SELECT mesa, prioridad, n_banderas FROM flags WHERE prioridad <> 'OK'")
+def review_list(spark, d):
+    rows = _ink(spark, d).where("prioridad <> 'OK'")
+    return rows.orderBy(F.when(F.col("prioridad") == "ALTA", 0).otherwise(1), F.desc("n_banderas"), "mesa").select("mesa", "prioridad", "n_banderas")
+
+
+@query(f"WITH {b.INK} SELECT prioridad, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM flags GROUP BY prioridad")
+def review_counts(spark, d):
+    return sheets.histogram(_ink(spark, d), "prioridad")
+
+
+_W, _H, _FILL = "l_quantity / 50", "l_discount * 6", "l_tax * 10"
+_TYPE = f"CASE WHEN {_H} < 0.18 AND {_W} > 2.2 * ({_H}) THEN 'guion' WHEN {_FILL} > 0.5 AND {_H} < 0.30 THEN 'punto' WHEN {_FILL} <= 0.45 OR {_H} >= 0.40 THEN 'digito' ELSE 'marca' END"
+
+
+def _blocks(spark, d):
+    return table(spark, d, "lineitem").withColumn("tipo", checks.block_type(F.expr(_W), F.expr(_H), F.expr(_FILL)))
+
+
+@query(f"SELECT l_returnflag, {_TYPE} AS tipo, count(*) AS n FROM lineitem GROUP BY ALL")
+def position_classify(spark, d):
+    return _blocks(spark, d).groupBy("l_returnflag", "tipo").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""WITH t AS (SELECT l_orderkey, count(*) AS n, count_if({_TYPE} = 'digito') AS dig, count_if({_TYPE} = 'guion') AS gui, count_if({_TYPE} = 'marca') AS mar FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, n AS n_posiciones, array_to_string(list_filter([CASE WHEN n > 3 THEN 'mas_de_3_posiciones' END, CASE WHEN mar > 0 THEN 'posicion_ambigua' END, CASE WHEN gui > 0 THEN 'contiene_guion' END, CASE WHEN dig = 0 AND gui = 0 THEN 'espacio_sin_anular' END], lambda x: x IS NOT NULL), ';') AS banderas FROM t""")
+def box_flags(spark, d):
+    boxes = _blocks(spark, d).groupBy("l_orderkey").agg(F.collect_list("tipo").alias("tipos"))
+    return boxes.select("l_orderkey", F.size("tipos").cast("bigint").alias("n_posiciones"), F.concat_ws(";", checks.box_flags(F.col("tipos"))).alias("banderas"))
+
+
+_LINES = "SELECT DISTINCT l_suppkey, l_partkey FROM lineitem"
+
+
+@query(f"""WITH g AS (SELECT *, CASE WHEN l_partkey - lag(l_partkey) OVER (PARTITION BY l_suppkey ORDER BY l_partkey) <= 3 THEN 0 ELSE 1 END AS new FROM ({_LINES})),
+r AS (SELECT *, sum(new) OVER (PARTITION BY l_suppkey ORDER BY l_partkey)::BIGINT AS run FROM g) SELECT l_suppkey, run, min(l_partkey) AS inicio, max(l_partkey) AS fin, count(*) AS n FROM r GROUP BY ALL""")
+def run_length_groups(spark, d):
+    return layout.runs(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", 3)
+
+
+@query(f"""WITH g AS (SELECT *, lead(l_partkey, 1) OVER w - l_partkey AS g0, lead(l_partkey, 2) OVER w - lead(l_partkey, 1) OVER w AS g1, lead(l_partkey, 3) OVER w - lead(l_partkey, 2) OVER w AS g2 FROM ({_LINES}) WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_partkey)),
+s AS (SELECT l_suppkey, l_partkey, greatest(g0, g1, g2) - least(g0, g1, g2) AS dispersion FROM g WHERE g0 > 1 AND g0 < 20 AND g1 > 1 AND g1 < 20 AND g2 > 1 AND g2 < 20)
+SELECT l_suppkey, l_partkey AS inicio, dispersion FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY dispersion, l_partkey) AS n FROM s) WHERE n = 1""")
+def regular_lines(spark, d):
+    lines = table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    return layout.regular_lines(lines, "l_suppkey", "l_partkey", 3, 1, 20)
+
+
+# digits
+
+
+@query(f"WITH {b.DIGITS} SELECT vec_id, k::INT AS pos, d1::INT AS d1, round(p1, 4) AS p1, d2::INT AS d2, round(p2, 4) AS p2 FROM top")
+def digit_topk(spark, d):
+    rows = b.digits(spark, d).select("vec_id", F.posexplode("posiciones").alias("pos", "t"))
+    return rows.select("vec_id", "pos", F.col("t")[0]["d"].alias("d1"), F.round(F.col("t")[0]["p"], 4).alias("p1"), F.col("t")[1]["d"].alias("d2"), F.round(F.col("t")[1]["p"], 4).alias("p2"))
+
+
+_VALUES = """base AS (SELECT vec_id, sum(d1 * power(10, 2 - k))::INT AS v FROM top GROUP BY vec_id),
+vals AS (SELECT vec_id, v AS valor, 0.0::DOUBLE AS coste FROM base UNION ALL SELECT t.vec_id, (v + (d2 - d1) * power(10, 2 - k))::INT, ln(greatest(p1, 1e-9) / greatest(p2, 1e-9)) FROM top t JOIN base USING (vec_id) WHERE ln(greatest(p1, 1e-9) / greatest(p2, 1e-9)) <= 2.5)"""
+
+
+@query(f"WITH {b.DIGITS}, {_VALUES} SELECT vec_id, valor, round(coste, 4) AS coste FROM vals")
+def value_candidates(spark, d):
+    rows = b.digits(spark, d).select("vec_id", F.explode(decode.value_candidates(F.col("posiciones"))).alias("c"))
+    return rows.select("vec_id", F.col("c.valor").cast("int").alias("valor"), F.round("c.coste", 4).alias("coste"))
+
+
+def _decoded(spark, d):
+    found = decode.decode(b.swaps(spark, d))
+    return found.withColumn("coste", F.round("coste", 6)).withColumn("cajas", F.concat_ws(",", F.col("cajas").cast("array<string>")))
+
+
+@query(f"WITH {b.SWAPS} SELECT * FROM decoded")
+def decode_sheets(spark, d):
+    return _decoded(spark, d).select("mesa", "estado", "n_cambios", "coste", "cajas")
+
+
+@query(f"WITH {b.SWAPS} SELECT estado, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM decoded GROUP BY estado")
+def decode_histogram(spark, d):
+    return sheets.histogram(_decoded(spark, d), "estado")
+
+
+_PSEUDO = """lab AS (SELECT t.vec_id AS caja, t.vec_id // 10 AS mesa, CASE WHEN t.vec_id % 10 = 3 THEN 'auto' WHEN t.vec_id % 10 = 6 THEN 'manual' ELSE '' END AS f, (t.vec_id % 10)::VARCHAR AS e, d1, p1, (t.vec_id // 10) % 3 = 0 AS cuadra FROM top t WHERE k = 0),
+pl AS (SELECT caja, mesa, CASE WHEN f <> '' THEN e WHEN cuadra OR p1 >= 0.5 THEN d1::VARCHAR ELSE '' END AS etiqueta, CASE WHEN f <> '' THEN f WHEN cuadra THEN 'validado' WHEN p1 >= 0.5 THEN 'pseudo' ELSE '' END AS fuente, round(p1, 4) AS confianza FROM lab)"""
+
+
+def _pseudo(spark, d):
+    rows = b.digits(spark, d).select(F.col("vec_id").alias("caja"), F.expr("vec_id div 10").alias("mesa"), F.col("posiciones")[0][0].alias("t"))
+    source = F.when(F.col("caja") % 10 == 3, "auto").when(F.col("caja") % 10 == 6, "manual").otherwise("")
+    labels = rows.select("caja", "mesa", (F.col("caja") % 10).cast("string").alias("etiqueta"), source.alias("fuente"))
+    guesses = rows.select("caja", F.col("t.d").alias("digito"), F.col("t.p").alias("confianza"), (F.col("mesa") % 3 == 0).alias("cuadra"))
+    return decode.pseudo_labels(labels, guesses, 0.5)
+
+
+@query(f"WITH {b.DIGITS}, {_PSEUDO} SELECT * FROM pl")
+def pseudo_labels(spark, d):
+    return _pseudo(spark, d).withColumn("confianza", F.round("confianza", 4))
+
+
+@query(f"WITH {b.DIGITS}, {_PSEUDO} SELECT caja, confianza FROM pl WHERE fuente = ''")
+def review_queue(spark, d):
+    return decode.review_queue(_pseudo(spark, d)).select("caja", F.round("confianza", 4).alias("confianza"))
+
+
+@query(f"WITH {b.DIGITS}, {_PSEUDO} SELECT fuente, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2) AS pct FROM pl GROUP BY fuente")
+def label_sources(spark, d):
+    return sheets.histogram(_pseudo(spark, d), "fuente")
+
+
+@query("WITH n AS (SELECT label AS clase, count(*) AS n FROM embeddings GROUP BY label), c AS (SELECT unnest(range(10))::INT AS clase) SELECT c.clase, coalesce(n.n, 0) AS n, round((SELECT count(*) FROM embeddings) / (10 * greatest(coalesce(n.n, 0), 1)), 6) AS peso FROM c LEFT JOIN n USING (clase)")
+def class_weights(spark, d):
+    return decode.class_weights(table(spark, d, "embeddings"), "label")
+
+
+@query(f"WITH {b.DIGITS} SELECT label AS clase, count(*) AS n, count_if(d1 = label) AS aciertos, round(avg(p1), 4) AS confianza FROM top WHERE k = 0 GROUP BY label")
+def digit_accuracy(spark, d):
+    rows = b.digits(spark, d).select(F.col("label").alias("clase"), F.col("posiciones")[0][0].alias("t"))
+    return rows.groupBy("clase").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t.d") == F.col("clase")).alias("aciertos"), F.round(F.avg("t.p"), 4).alias("confianza"))
+
+
+# samples, groups, duplicates
+
+_PLACE = "('0x' || substr(md5('0:' || l_orderkey::VARCHAR), 1, 8))::BIGINT"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, count(*) AS n, bool_and({_PLACE} < {int(0.2 * 2**32)} OR {_PLACE} = (SELECT min({_PLACE}) FROM lineitem)) AS validation FROM lineitem GROUP BY l_orderkey, l_linenumber")
+def group_split(spark, d):
+    rows = sheets.group_split(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey")
+    return rows.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.bool_and("validation").alias("validation"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders ORDER BY md5('42:' || o_orderkey::VARCHAR), o_orderkey LIMIT 100")
+def seeded_sample(spark, d):
+    return sheets.seeded_sample(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 100)
+
+
+@query("SELECT split_part(url, '/', 3) AS host, min(url) AS url FROM pages GROUP BY ALL")
+def one_per_group(spark, d):
+    return sheets.one_per_group(table(spark, d, "pages").withColumn("host", F.get(F.split("url", "/"), F.lit(2))), "host", "url")
+
+
+@query("SELECT sha256(text) AS sha, count(*) AS n, min(doc_id) AS primero FROM documents GROUP BY ALL HAVING count(*) > 1")
+def duplicate_hashes(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    return rows.groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("primero")).where("n > 1")
+
+
+@query("SELECT quality, toxic, count(*) AS n, sum(n_chars)::BIGINT AS caracteres FROM labels JOIN documents USING (doc_id) GROUP BY ALL")
+def label_review(spark, d):
+    rows = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
+    return rows.groupBy("quality", "toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("caracteres"))
+
+
+@query("SELECT o_orderstatus AS estado, count(*) AS n, round(count(*) / 60.0, 4) AS por_segundo FROM orders GROUP BY ALL")
+def download_status(spark, d):
+    n = F.count(F.lit(1))
+    return table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("estado")).agg(n.alias("n"), F.round(n / 60.0, 4).alias("por_segundo"))
+
+
+@query("SELECT page_id % 8 AS intento, min(least(60.0, 1.0 * power(2.0, page_id % 8 - 1))) AS espera FROM pages GROUP BY ALL")
+def backoff_schedule(spark, d):
+    rows = table(spark, d, "pages").select((F.col("page_id") % 8).alias("intento"))
+    return rows.groupBy("intento").agg(F.min(checks.backoff(F.col("intento"))).alias("espera"))
