@@ -1,0 +1,102 @@
+"""Array kernels over grey crops (numpy, 0 is black), and their Arrow-batched column forms."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+DARK, LINE, MARGIN = 100, 0.7, 0.06
+
+
+def ink_percent(grey: np.ndarray) -> float:
+    """Share of dark pixels in the centre, without rows and columns that are dark nearly all along (frame lines)."""
+    h, w = grey.shape
+    if h < 6 or w < 6:
+        return 0.0
+    dark = grey < DARK
+    dark[:, dark.mean(0) > LINE] = False
+    dark[dark.mean(1) > LINE, :] = False
+    m = int(min(h, w) * MARGIN)
+    centre = dark[m : h - m, m : w - m]
+    return float(100.0 * centre.mean()) if centre.size else 0.0
+
+
+def has_content(grey: np.ndarray, least: float = 0.5) -> bool:
+    return bool(100.0 * (grey < 128).mean() > least)
+
+
+def border_residue(grey: np.ndarray, band: float = 0.1, line: float = 0.88) -> int:
+    """Rows and columns in the outer band that are still frame lines."""
+    dark = grey < 128
+    h, w = dark.shape
+    rows, cols = dark.mean(1) > line, dark.mean(0) > line
+    a, b = max(1, int(h * band)), max(1, int(w * band))
+    return int(rows[:a].sum() + rows[-a:].sum() + cols[:b].sum() + cols[-b:].sum())
+
+
+def runs(mask: np.ndarray, gap: int = 1) -> list[tuple[int, int]]:
+    """(first, last) of each run of true places; places up to ``gap`` apart are one run."""
+    at = np.flatnonzero(mask)
+    if not len(at):
+        return []
+    cuts = np.flatnonzero(np.diff(at) > gap)
+    return list(zip(at[np.r_[0, cuts + 1]].tolist(), at[np.r_[cuts, len(at) - 1]].tolist()))
+
+
+def horizontal_lines(grey: np.ndarray, share: float = 0.3, gap: int = 25) -> list[int]:
+    """Middle of each group of rows with an unbroken dark stretch of ``share`` of the width."""
+    dark = grey < 128
+    need = int(dark.shape[1] * share)
+    padded = np.pad(dark, ((0, 0), (1, 1))).astype(np.int8)
+    long_rows = []
+    for row in padded:
+        edges = np.diff(row)
+        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        long_rows.append(bool(len(starts)) and int((ends - starts).max()) >= need)
+    return [(a + b) // 2 for a, b in runs(np.array(long_rows), gap)]
+
+
+def blocks(grey: np.ndarray, gap: float = 0.03) -> list[dict]:
+    """Blocks of ink from left to right, with width, height and fill relative to the box (see ``checks.block_type``)."""
+    dark = grey < 128
+    h, w = dark.shape
+    out = []
+    for a, b in runs(dark.any(0), max(1, int(w * gap))):
+        part = dark[:, a : b + 1]
+        rows = np.flatnonzero(part.any(1))
+        top, low = int(rows[0]), int(rows[-1])
+        out.append({"x0": a, "x1": b, "ancho": (b - a + 1) / h, "alto": (low - top + 1) / h, "relleno": float(part[top : low + 1].mean())})
+    return out
+
+
+def vote_crop(x: int, y: int, w: int, h: int, left: float = 0.72, right: float = 0.975) -> tuple[int, int, int, int]:
+    """The part of a row that has the number."""
+    return x + int(w * left), y, int(w * (right - left)), h
+
+
+def digit_boxes(grey: np.ndarray, n: int = 3) -> list[np.ndarray]:
+    """n parts of a number: its runs of ink if there are n, else n equal windows."""
+    found = runs((grey < 128).any(0), 1)
+    if len(found) != n:
+        edges = np.linspace(0, grey.shape[1], n + 1).astype(int)
+        found = [(a, b - 1) for a, b in zip(edges, edges[1:])]
+    return [grey[:, a : b + 1] for a, b in found]
+
+
+def _column(kernel, kind):
+    @F.pandas_udf(kind)
+    def apply(pixels, height):
+        import pandas as pd
+
+        return pd.Series([None if p is None or not h else kernel(np.frombuffer(bytes(p), np.uint8).reshape(int(h), -1).copy()) for p, h in zip(pixels, height)])
+
+    return apply
+
+
+def ink_column(pixels, height):
+    """``ink_percent`` of grey bytes in row order and their number of rows; null without rows."""
+    return _column(ink_percent, "double")(pixels, height)
+
+
+def blocks_column(pixels, height):
+    return _column(blocks, "array<struct<x0:int,x1:int,ancho:double,alto:double,relleno:double>>")(pixels, height)

@@ -38,4 +38,4 @@ def nearest_kept(positions: DataFrame, key: str, at: str, size: str, apart: floa
         return F.when(~near, F.concat(acc, F.array(x))).when(x["s"] > last["s"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(x))).otherwise(acc)
 
     kept = F.aggregate("xs", F.slice(F.col("xs"), 1, 1), step)
-    return listed.select(key, F.explode(kept).alias("k")).select(key, F.col("k.p").alias(at), F.col("k.s").alias(size))
+    return listed.select(key, F.explode(kept).alias("_kept")).select(key, F.col("_kept.p").alias(at), F.col("_kept.s").alias(size))
