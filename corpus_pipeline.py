@@ -35,7 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     kept = near_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kept_id")).distinct()
-    return docs.join(kept, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("kept_id"), "left_semi")
+    return docs.join(kept.hint("merge"), F.coalesce("doc_id", F.lit(NO_ID)) == F.col("kept_id"), "left_semi")  # by sort and merge at every size
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
