@@ -8,13 +8,14 @@ a band are candidates. With 32 bands of 4, a pair of similarity 0.75 is missed
 with a probability of 5e-6.
 
 Documents with one shingle set are one class from the start. Within a band's
-bucket, members are not paired with each other but with one pivot (four
-different ones over the bands), and similarity is computed on the full shingle
-sets of both. Where a bucket still holds several components, new pivots are
-tried as long as all pairs across components would be many; the rest of those
-pairs is then verified one by one, without those whose distances to a pivot
-differ too much for a link (Jaccard distance is a metric). So no candidate link
-between components is lost, and no bucket is expanded into all its pairs.
+bucket, members are not paired with each other but with the first of them, and
+similarity is computed on the full shingle sets of both. Only where a bucket
+still holds several components, its members outside the largest one are held
+against the members of the other components. There a sketch (two bits of each
+of 1024 coordinates) drops pairs that agree in fewer coordinates than a linked
+pair does but for one in ten million; what is left is verified on full sets.
+So no bucket is expanded into all its pairs, and links within a component,
+which change nothing, are not looked for.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tallyframe.llm.components import components
 from tallyframe.llm.shared import arrow_map, documents, stored, text_of
 
 BANDS, ROWS, WORDS = 32, 4, 5
+#: Coordinates of a candidate's sketch, and how many bits of each it has.
+COORDINATES, PLANES = 1024, 2
 #: Most permutation values that are computed at once.
 CHUNK = 1 << 18
 NO_ID = (1 << 63) - 1
@@ -68,15 +71,15 @@ def shingles(text: str, width: int = WORDS):
     return np.unique(out)
 
 
-def signature(found):
-    """``BANDS * ROWS`` coordinates of a set of hashes that isn't empty."""
+def signature(found, coordinates: int = BANDS * ROWS):
+    """The coordinates of a set of hashes that isn't empty."""
     import numpy as np
 
     scattered = (found ^ (found >> np.uint64(29))).astype(np.uint32)
-    shifts = np.arange(BANDS * ROWS, dtype=np.uint32)[:, None]
-    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(scattered), CHUNK // (BANDS * ROWS)):
-        y = scattered[None, at : at + CHUNK // (BANDS * ROWS)] + shifts
+    shifts = np.arange(coordinates, dtype=np.uint32)[:, None]
+    least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(scattered), CHUNK // coordinates):
+        y = scattered[None, at : at + CHUNK // coordinates] + shifts
         y ^= y >> np.uint32(16)
         y *= np.uint32(0x85EBCA6B)
         y ^= y >> np.uint32(13)
@@ -89,13 +92,32 @@ def signature(found):
 def band_keys(least):
     import numpy as np
 
-    out = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    rows, out = least.reshape(BANDS, ROWS), np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
     for k in range(ROWS):
-        out = (out ^ least.reshape(BANDS, ROWS)[:, k]) * np.uint64(0x94D049BB133111EB)
+        out = (out ^ rows[:, k]) * np.uint64(0x94D049BB133111EB)
         out ^= out >> np.uint64(31)
     return out.view(np.int64)
 
 
+def sketch(least):
+    """``PLANES`` times ``COORDINATES / 64`` numbers: one bit of every coordinate after another."""
+    import numpy as np
+
+    return np.concatenate([np.packbits(((least >> np.uint32(p)) & np.uint32(1)).astype(np.uint8)).view(np.int64) for p in range(PLANES)])
+
+
+def fewest_agreeing(percent: int) -> int:
+    """Agreeing sketch coordinates, of a pair at the threshold, that fewer than one pair in ten million doesn't reach."""
+    p = percent / 100 + (1 - percent / 100) / 2**PLANES
+    return int(COORDINATES * p - 5.2 * (COORDINATES * p * (1 - p)) ** 0.5)
+
+
+def _agreeing(a: str, b: str) -> str:
+    step = COORDINATES // 64
+    differ = ["bit_count(" + " | ".join(f"({a}[{p * step + k}] ^ {b}[{p * step + k}])" for p in range(PLANES)) + ")" for k in range(step)]
+    return f"{COORDINATES} - ({' + '.join(differ)})"
+
+
 def _profiles(batches):
     import pyarrow as pa
     import xxhash
@@ -116,55 +138,27 @@ def _sets(batches):
     import pyarrow as pa
 
     for batch in batches:
-        sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+        sets = [shingles(t) for t in batch.column(1).to_pylist()]
+        sketches = [sketch(signature(s, COORDINATES)) for s in sets]
+        arrays = [batch.column(0), *[pa.array(x, pa.list_(pa.int64())) for x in ([s.view(np.int64) for s in sets], sketches)]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["id", "shingles", "sketch"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs(a, b)`` with their similarity and whether they are linked, on full sets."""
+    """Those of ``pairs(a, b)`` that are linked, on full sets."""
     left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("common"))
-    union = F.col("nx") + F.col("ny") - F.col("common")
-    return both.select("a", "b", (F.col("common") / union).alias("similarity"), (100 * F.col("common") >= percent * union).alias("linked"))
-
-
-def _flip(round_no: int):
-    """A mask for each quarter of the bands: the pivot is the member whose id, under it, is least."""
-    import random
+    return both.where(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select("a", "b")
 
-    rng = random.Random(round_no)
-    masks = [rng.getrandbits(62) for _ in range(4)]
-    mask = F.lit(masks[3])
-    for k in range(3):
-        mask = F.when(F.col("quarter") == k, F.lit(masks[k])).otherwise(mask)
-    return mask
 
-
-def _labelled(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return buckets.withColumn("component", F.col("id"))
-    return buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-
-def _untested(named: DataFrame, pivots: DataFrame, labels: DataFrame) -> DataFrame:
-    """Buckets with pairs across components that no pivot has tested: ``key, main, left``; main is the largest component."""
-    parts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
-    seen = pivots.join(labels.withColumnRenamed("id", "pivot"), "pivot", "left").select("key", F.coalesce("component", "pivot").alias("of_pivot"))
-    parts = parts.join(seen, "key")
-    total, squares = F.sum("m"), F.sum(F.col("m") * F.col("m"))
-    by_pivot = total - F.sum(F.when(F.col("component") == F.col("of_pivot"), F.col("m")).otherwise(0))
-    left = (total * total - squares) / 2 - by_pivot
-    return parts.groupBy("key").agg(left.cast("long").alias("left"), F.max(F.struct("m", "component"))["component"].alias("main")).where("left > 0")
-
-
-def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", rounds: int = 6) -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
     Rows with one id are one document; null ids are one document that never is the
     smallest of its component if another id is there. Null and empty texts and
     those without words have no shingles and are linked with nothing. Repeated rows
     give repeated results; an empty table gives an empty one; other columns are
-    ignored. ``rounds`` bounds the rounds of pivots, not the pairs that are verified.
+    ignored.
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text_of(text_col).alias("text"))
     rows = arrow_map(texts, _profiles, "id long, n long, set_key binary, bands array<long>")
@@ -172,44 +166,34 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     members = rows.where("n > 0").join(classes, "set_key")
     members = stored(members.select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "near-members")
 
-    banded = members.where("bands IS NOT NULL").select("id", F.posexplode("bands").alias("band", "key")).select("key", F.pmod("band", F.lit(4)).alias("quarter"), "id")
-    shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
+    banded = members.where("bands IS NOT NULL").select("id", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot < high").select("key", "pivot")
     buckets = stored(banded.join(shared, "key"), "near-buckets")
-    size = buckets.count()
-    sets = arrow_map(texts.join(buckets.select("id").distinct(), "id", "left_semi"), _sets, "id long, shingles array<long>")
-
-    labels = tested = None
-    for round_no in range(rounds):
-        named, mask = _labelled(buckets, labels), _flip(round_no)
-        pivots = named.groupBy("key", "quarter").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("flipped"))
-        pivots = stored(pivots.select("key", F.col("flipped").bitwiseXOR(mask).alias("pivot")), "near-pivots")
-        pairs = named.join(_labelled(pivots.withColumnRenamed("pivot", "id"), labels).select("key", F.col("id").alias("pivot"), F.col("component").alias("of_pivot")), "key").where("component <> of_pivot")
-        new = stored(verified(_pairs(pairs, "id", "pivot", tested), sets, percent), "near-pairs")
-        tested = new if tested is None else tested.unionByName(new)
-        labels = components(tested.where("linked"))
-        named = _labelled(buckets, labels)
-        open_ = stored(_untested(named, pivots, labels), "near-open")
-        left = open_.agg(F.sum("left")).first()[0] or 0
-        buckets = buckets.join(open_.select("key"), "key", "left_semi")
-        if left <= 8 * size:
-            break
-    if left:
-        named = stored(named.join(open_.select("key", "main"), "key"), "near-rest")
-        others = named.select("key", F.col("id").alias("other"), F.col("component").alias("of_other"))
-        rest = named.where("component <> main").join(others, "key").where("component <> of_other")
-        new = stored(verified(_pairs(rest, "id", "other", tested), sets, percent), "near-pairs")
-        labels = components(tested.unionByName(new).where("linked"))
+    sets = arrow_map(texts.join(buckets.select("id").distinct(), "id", "left_semi"), _sets, "id long, shingles array<long>, sketch array<long>")
+    stars = buckets.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    links = stored(verified(stars, sets, percent), "near-links")
+    labels = components(links)
+
+    named = buckets.join(labels, "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("component"))
+    parts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    parts = parts.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rest = stored(named.join(parts.select("key", "main"), "key").join(sets.select("id", "sketch"), "id"), "near-rest")
+    other = rest.select("key", F.col("id").alias("other"), F.col("component").alias("of_other"), F.col("sketch").alias("with"))
+    pairs = rest.where("component <> main").join(other, "key").where("component <> of_other AND (of_other = main OR id < other) AND id <> pivot AND other <> pivot")
+    pairs = pairs.where(f"{_agreeing('sketch', 'with')} >= {fewest_agreeing(percent)}")
+    pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+    more = stored(verified(pairs, sets, percent), "near-links")
+    if not more.isEmpty():
+        to = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
+        across = more.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        joined = components(across).select(F.col("id").alias("component"), F.col("component").alias("least"))
+        singles = joined.join(labels, "component", "left_anti").select(F.col("component").alias("id"), F.col("least").alias("component"))
+        labels = labels.join(joined, "component", "left").select("id", F.coalesce("least", "component").alias("component")).unionByName(singles)
 
     found = members.select("id", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
     found = found.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
-    own = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return found.select(own("id").alias("doc_id"), F.col("n").alias("n_shingles"), own("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
-
-
-def _pairs(df: DataFrame, one: str, other: str, tested: DataFrame | None) -> DataFrame:
-    """Different pairs with the lesser id first, without those in ``tested``."""
-    pairs = df.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
-    return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    shown = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return found.select(shown("id").alias("doc_id"), F.col("n").alias("n_shingles"), shown("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
 def op6_near_dedup(spark, sf_dir):

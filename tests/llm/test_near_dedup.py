@@ -58,14 +58,23 @@ def test_matches_brute_force(spark):
     assert len({c for _, c in want.values()}) < len(rows) - 60
 
 
-def test_rest_of_open_buckets_is_verified_when_pivots_are_few(spark, monkeypatch):
-    """One round of pivots only: what it leaves open must still be found."""
+def test_links_that_no_pivot_has_are_found(spark):
+    """Loose families, in which many members are linked to others than the first of their buckets."""
     rng = random.Random(5)
     rows = list(enumerate(t for _ in range(4) for t in family(rng, 40, 60, 0.08)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    want = brute(rows)
-    for rounds in (1, 3):
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in n.near_dedup(docs, rounds=rounds).collect()} == want
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in n.near_dedup(docs).collect()} == brute(rows)
+
+
+def test_sketch_counts_agreeing_coordinates(spark):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 1 << 32, (2, n.COORDINATES), dtype=np.uint64).astype(np.uint32)
+    x[1, ::3] = x[0, ::3]
+    a, b = (n.sketch(r).tolist() for r in x)
+    low = 2**n.PLANES - 1
+    want = int(((x[0] & low) == (x[1] & low)).sum())
+    assert spark.createDataFrame([(a, b)], "a array<long>, b array<long>").selectExpr(n._agreeing("a", "b") + " AS k").first().k == want
+    assert n.fewest_agreeing(75) < 0.75 * n.COORDINATES
 
 
 def test_repeated_rows_null_ids_and_empty_table(spark):
