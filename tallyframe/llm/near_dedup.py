@@ -11,9 +11,11 @@ Documents with one shingle set are one class from the start. Within a band's
 bucket, members are not paired with each other but with the first of them, and
 similarity is computed on the full shingle sets of both. Only where a bucket
 still holds several components, its members outside the largest one are held
-against the members of the other components. There a sketch (two bits of each
-of 1024 coordinates) drops pairs that agree in fewer coordinates than a linked
-pair does but for one in ten million; what is left is verified on full sets.
+against the members of the other components. Pairs whose distances to the
+bucket's first member differ by more than a link's distance can't be linked, as
+Jaccard distance is a metric; a sketch (two bits of each of 1024 coordinates)
+drops pairs that agree in fewer coordinates than a linked pair does but for one
+in ten million; what is left is verified on full sets, each pair once.
 So no bucket is expanded into all its pairs, and links within a component,
 which change nothing, are not looked for.
 """
@@ -144,11 +146,12 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays(arrays, names=["id", "shingles", "sketch"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` that are linked, on full sets."""
+def similarities(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` with their similarity on full sets, and whether it links them."""
     left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("common"))
-    return both.where(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select("a", "b")
+    union = F.col("nx") + F.col("ny") - F.col("common")
+    return both.select("a", "b", (F.col("common") / union).alias("similarity"), (100 * F.col("common") >= percent * union).alias("linked"))
 
 
 def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,27 +165,35 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text_of(text_col).alias("text"))
     rows = arrow_map(texts, _profiles, "id long, n long, set_key binary, bands array<long>")
-    classes = rows.where("n > 0").groupBy("set_key").agg(F.min("id").alias("rep"))
+    # what a join looks up is written first: then both its sides are plain exchanges, whose hot keys are split
+    classes = stored(rows.where("n > 0").groupBy("set_key").agg(F.min("id").alias("rep")), "near-classes")
     members = rows.where("n > 0").join(classes, "set_key")
     members = stored(members.select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "near-members")
 
     banded = members.where("bands IS NOT NULL").select("id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot < high").select("key", "pivot")
+    shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot < high")
+    shared = stored(shared.select("key", "pivot"), "near-shared")
     buckets = stored(banded.join(shared, "key"), "near-buckets")
     sets = arrow_map(texts.join(buckets.select("id").distinct(), "id", "left_semi"), _sets, "id long, shingles array<long>, sketch array<long>")
     stars = buckets.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = stored(verified(stars, sets, percent), "near-links")
-    labels = components(links)
+    stars = stored(similarities(stars, sets, percent), "near-stars")
+    labels = components(stars.where("linked"))
 
     named = buckets.join(labels, "id", "left").select("key", "id", "pivot", F.coalesce("component", "id").alias("component"))
     parts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     parts = parts.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    rest = stored(named.join(parts.select("key", "main"), "key").join(sets.select("id", "sketch"), "id"), "near-rest")
-    other = rest.select("key", F.col("id").alias("other"), F.col("component").alias("of_other"), F.col("sketch").alias("with"))
-    pairs = rest.where("component <> main").join(other, "key").where("component <> of_other AND (of_other = main OR id < other) AND id <> pivot AND other <> pivot")
-    pairs = pairs.where(f"{_agreeing('sketch', 'with')} >= {fewest_agreeing(percent)}")
-    pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    more = stored(verified(pairs, sets, percent), "near-links")
+    parts = stored(parts.select("key", "main"), "near-parts")
+    to_pivot = stars.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "similarity")
+    rest = named.join(parts, "key").join(to_pivot, ["pivot", "id"])  # without the pivots, which have been held against all
+    traits = sets.select("id", "sketch").join(members.where("bands IS NOT NULL").select("id", "bands"), "id")
+    rest = stored(rest.join(traits, "id").select("key", "id", "component", "main", "similarity", "sketch", "bands"), "near-rest")
+    other = rest.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "component", "similarity", "sketch", "bands")])
+    pairs = rest.where("component <> main").join(other, "key").where("component <> component2 AND (component2 = main OR id < id2)")
+    pairs = pairs.where(f"abs(similarity - similarity2) <= {1 - percent / 100 + 1e-9}")  # the triangle inequality, by way of the pivot
+    pairs = pairs.where(f"{_agreeing('sketch', 'sketch2')} >= {fewest_agreeing(percent)}")
+    pairs = pairs.where("array_intersect(bands, bands2)[0] = key")  # each pair in the first of its buckets only
+    pairs = pairs.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+    more = stored(similarities(pairs, sets, percent).where("linked"), "near-links")
     if not more.isEmpty():
         to = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}"))
         across = more.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
