@@ -90,7 +90,7 @@ def audited(found: DataFrame, late_hours: float = 6.0) -> DataFrame:
     number = lambda c: F.when(c.rlike("^[0-9]+$"), c.try_cast("long"))
     late = F.exists("hash_changes", lambda x: hours(x["ts"], F.col("first_seen")) >= late_hours)
     back = F.exists("estado_changes", lambda x: F.coalesce(number(x["ahora"].cast("string")) < number(x["antes"].cast("string")), F.lit(False)))
-    flags = found.withColumn("n_cambios", F.size("hash_changes")).withColumn("tardio", late).withColumn("eliminada", F.col("eliminada_ts").isNotNull()).withColumn("regresion", back)
+    flags = found.withColumn("n_cambios", F.size("hash_changes").cast("bigint")).withColumn("tardio", late).withColumn("eliminada", F.col("eliminada_ts").isNotNull()).withColumn("regresion", back)
     first = F.when(F.col("n_cambios") > 0, F.col("hash_changes")[0]["antes"]).otherwise(F.col("name"))
     return flags.withColumn("hash_inicial", F.substring(first, 1, 16)).withColumn("hash_actual", F.substring("name", 1, 16))
 

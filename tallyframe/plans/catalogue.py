@@ -80,7 +80,7 @@ def dedupe_keep_first(spark, d):
     return sheets.keep_first(b.readings(spark, d), ["mesa", "etiqueta"], "ord")
 
 
-@query(r"""SELECT strategy, count(*) AS actas, count_if(ok) AS cuadran, round(100.0 * count_if(ok) / count(*), 2) AS pct FROM (
+@query(r"""SELECT strategy, count(*) AS actas, count(*) FILTER (WHERE ok) AS cuadran, round(100.0 * count(*) FILTER (WHERE ok) / count(*), 2) AS pct FROM (
   SELECT 'cero' AS strategy, cuadra_suma AND cuadra_e11 AS ok FROM (WITH """ + b.checked_sql("zero_all") + """ SELECT * FROM checked)
   UNION ALL SELECT 'estricta', coalesce(cuadra_suma AND cuadra_e11, FALSE) FROM (WITH """ + b.checked_sql("strict") + """ SELECT * FROM checked)) GROUP BY strategy""")
 def strategy_compare(spark, d):
@@ -224,7 +224,7 @@ def snapshot_diff(spark, d):
     return snapshots.diff(*_ends(spark, d)).orderBy("tipo", "key")
 
 
-_COUNTERS = "counters AS (SELECT snap_ord, count_if(aqui) AS n_actas, count_if(anadida) AS anadida, count_if(eliminada) AS eliminada, count_if(hash_cambiado) AS hash_cambiado, count_if(estado_cambiado) AS estado_cambiado, count_if(eliminada) > 0 OR count_if(hash_cambiado) > 0 AS alerta FROM steps GROUP BY snap_ord)"
+_COUNTERS = "counters AS (SELECT snap_ord, count(*) FILTER (WHERE aqui) AS n_actas, count(*) FILTER (WHERE anadida) AS anadida, count(*) FILTER (WHERE eliminada) AS eliminada, count(*) FILTER (WHERE hash_cambiado) AS hash_cambiado, count(*) FILTER (WHERE estado_cambiado) AS estado_cambiado, count(*) FILTER (WHERE eliminada) > 0 OR count(*) FILTER (WHERE hash_cambiado) > 0 AS alerta FROM steps GROUP BY snap_ord)"
 
 
 @query(f"WITH {b.SNAPSHOTS}, {b.STEPS}, {_COUNTERS} SELECT * FROM counters")
@@ -259,7 +259,7 @@ _HIST = f"WITH {b.SNAPSHOTS}, {b.HISTORY} "
 @query(_HIST + "SELECT key, first_seen, name, status, n_cambios, n_estados, eliminada_ts FROM hist")
 def sheet_history(spark, d):
     h = snapshots.history(b.snapshots(spark, d))
-    return h.select("key", "first_seen", "name", "status", F.size("hash_changes").alias("n_cambios"), F.size("estado_changes").alias("n_estados"), "eliminada_ts")
+    return h.select("key", "first_seen", "name", "status", F.size("hash_changes").cast("bigint").alias("n_cambios"), F.size("estado_changes").cast("bigint").alias("n_estados"), "eliminada_ts")
 
 
 @query(_HIST + "SELECT key, first_seen, n_cambios, tardio, eliminada, regresion, substr(CASE WHEN n_cambios > 0 THEN before0 ELSE name END, 1, 16) AS hash_inicial, substr(name, 1, 16) AS hash_actual FROM hist WHERE n_cambios > 0 OR eliminada")
@@ -268,7 +268,7 @@ def audit_report(spark, d):
     return report.select("key", "first_seen", "n_cambios", "tardio", "eliminada", "regresion", "hash_inicial", "hash_actual")
 
 
-@query(_HIST + "SELECT count(*) AS actas, count_if(n_cambios > 0) AS con_cambio, count_if(tardio) AS tardias, count_if(eliminada) AS eliminadas, count_if((n_cambios > 0 OR eliminada) AND regresion) AS regresiones, round(100.0 * count_if(n_cambios > 0) / greatest(count(*), 1), 2) AS tasa_base FROM hist")
+@query(_HIST + "SELECT count(*) AS actas, count(*) FILTER (WHERE n_cambios > 0) AS con_cambio, count(*) FILTER (WHERE tardio) AS tardias, count(*) FILTER (WHERE eliminada) AS eliminadas, count(*) FILTER (WHERE (n_cambios > 0 OR eliminada) AND regresion) AS regresiones, round(100.0 * count(*) FILTER (WHERE n_cambios > 0) / greatest(count(*), 1), 2) AS tasa_base FROM hist")
 def audit_base_rate(spark, d):
     return snapshots.base_rate(snapshots.history(b.snapshots(spark, d)), 240)
 
@@ -388,7 +388,7 @@ def position_classify(spark, d):
     return _blocks(spark, d).groupBy("l_returnflag", "tipo").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH t AS (SELECT l_orderkey, count(*) AS n, count_if({_TYPE} = 'digito') AS dig, count_if({_TYPE} = 'guion') AS gui, count_if({_TYPE} = 'marca') AS mar FROM lineitem GROUP BY l_orderkey)
+@query(f"""WITH t AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE {_TYPE} = 'digito') AS dig, count(*) FILTER (WHERE {_TYPE} = 'guion') AS gui, count(*) FILTER (WHERE {_TYPE} = 'marca') AS mar FROM lineitem GROUP BY l_orderkey)
 SELECT l_orderkey, n AS n_posiciones, array_to_string(list_filter([CASE WHEN n > 3 THEN 'mas_de_3_posiciones' END, CASE WHEN mar > 0 THEN 'posicion_ambigua' END, CASE WHEN gui > 0 THEN 'contiene_guion' END, CASE WHEN dig = 0 AND gui = 0 THEN 'espacio_sin_anular' END], lambda x: x IS NOT NULL), ';') AS banderas FROM t""")
 def box_flags(spark, d):
     boxes = _blocks(spark, d).groupBy("l_orderkey").agg(F.collect_list("tipo").alias("tipos"))
@@ -478,7 +478,7 @@ def class_weights(spark, d):
     return decode.class_weights(table(spark, d, "embeddings"), "label")
 
 
-@query(f"WITH {b.DIGITS} SELECT label AS clase, count(*) AS n, count_if(d1 = label) AS aciertos, round(avg(p1), 4) AS confianza FROM top WHERE k = 0 GROUP BY label")
+@query(f"WITH {b.DIGITS} SELECT label AS clase, count(*) AS n, count(*) FILTER (WHERE d1 = label) AS aciertos, round(avg(p1), 4) AS confianza FROM top WHERE k = 0 GROUP BY label")
 def digit_accuracy(spark, d):
     rows = b.digits(spark, d).select(F.col("label").alias("clase"), F.col("posiciones")[0][0].alias("t"))
     return rows.groupBy("clase").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("t.d") == F.col("clase")).alias("aciertos"), F.round(F.avg("t.p"), 4).alias("confianza"))
