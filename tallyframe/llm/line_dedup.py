@@ -45,9 +45,13 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
 
 
 def _named(df: DataFrame, by: list[str]) -> DataFrame:
-    """Rows that share ``by``, with the place of the first of them as ``r``."""
+    """Rows that share ``by``, with the place of the first of them as ``r``.
+
+    The places are written before the join: both sides of it are then plain
+    exchanges, which adaptive execution can split where a line is very common.
+    """
     first = df.groupBy(*by).agg(F.min(F.struct("doc", "twin", "i")).alias("r"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return df.join(first, by)
+    return df.join(stored(first, "lines-first"), by)
 
 
 def levels(lines: DataFrame, min_words: int) -> DataFrame:
