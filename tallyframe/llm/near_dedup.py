@@ -22,13 +22,11 @@ which change nothing, are not looked for.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.components import components
-from tallyframe.llm.shared import arrow_map, documents, stored, text_of
+from tallyframe.llm.shared import arrow_map, documents, stored, text_of, worker_table
 
 BANDS, ROWS, WORDS = 32, 4, 5
 #: Coordinates of a candidate's sketch, and how many bits of each it has.
@@ -48,9 +46,8 @@ class _Hashes(dict):
         return value
 
 
-@lru_cache(maxsize=1)
 def _hashes() -> _Hashes:
-    return _Hashes()
+    return worker_table("hashes", _Hashes)
 
 
 def shingles(text: str, width: int = WORDS):
@@ -58,7 +55,7 @@ def shingles(text: str, width: int = WORDS):
     import numpy as np
 
     words, known = text.encode("utf-8", "surrogatepass").lower().split(), _hashes()
-    if len(known) > 600_000:
+    if len(known) > 400_000:
         known.clear()
     if not words:
         return np.empty(0, np.uint64)

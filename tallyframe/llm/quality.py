@@ -15,12 +15,11 @@ model, never a text, reaches the driver.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.shared import arrow_map, documents, importable, text_of
+from tallyframe.llm.shared import arrow_map, documents, importable, text_of, worker_table
 
 #: Weights, and what a family's share is multiplied by: words, word pairs, shapes, shape pairs, shape triples, repeats.
 DIMENSION = 1 << 17
@@ -44,9 +43,8 @@ class _Words(dict):
         return value
 
 
-@lru_cache(maxsize=1)
 def _known() -> _Words:
-    return _Words()
+    return worker_table("words", _Words)
 
 
 def _mixed(x, seed: int):
@@ -63,7 +61,7 @@ def families(text: str) -> list:
     import numpy as np
 
     words, known = text.split(), _known()
-    if len(known) > 600_000:
+    if len(known) > 400_000:
         known.clear()
     both = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     word, shape = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)

@@ -63,6 +63,17 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
+_tables: dict[str, object] = {}
+
+
+def worker_table(name: str, make):
+    """A worker process's table of what it has learned, one at a time: another operator's makes room for it."""
+    if name not in _tables:
+        _tables.clear()
+        _tables[name] = make()
+    return _tables[name]
+
+
 def arrow_map(df: DataFrame, function, schema, rows: int = 500) -> DataFrame:
     """``df.mapInArrow`` in record batches of ``rows`` rows, so that long texts don't fill a worker; stored."""
     key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession

@@ -10,6 +10,8 @@ import os
 from functools import lru_cache
 from itertools import islice
 
+from tallyframe.llm.shared import worker_table
+
 #: The vocabulary file that is looked up beside the installed tokenizers' list.
 WORD_BPE = "word_bpe_49k.json"
 
@@ -33,7 +35,7 @@ def _tokenizers(path: str):
 class ChunkIds:
     """Ids of texts, as unsigned 32-bit integers. Remembers about ``limit`` chunks."""
 
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 500_000):
         import numpy as np
 
         (self.whole, self.plain), self.limit, self.known = _tokenizers(path), limit, {"": b""}
@@ -114,13 +116,12 @@ class ChunkIds:
         return [flat[a:b].tobytes() for a, b in zip(ends, ends[1:])]
 
 
-@lru_cache(maxsize=2)
 def chunk_ids(path: str) -> ChunkIds:
-    """One table for each worker process."""
-    return ChunkIds(path)
+    """The worker process's table."""
+    return worker_table(f"chunks {path}", lambda: ChunkIds(path))
 
 
-def portions(column, most: int = 1 << 24):
+def portions(column, most: int = 1 << 23):
     """Slices of an Arrow column of texts of up to about ``most`` bytes; a longer text is a slice of its own."""
     import numpy as np
     import pyarrow.compute as pc
