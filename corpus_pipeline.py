@@ -23,24 +23,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _beside(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns that an operator needs, and all of ``docs`` as one, so that no name clashes with the operator's own."""
+    return docs.select(*needed, F.struct(*docs.columns).alias("whole_row"))
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated line runs; documents of which nothing is left go."""
-    found = line_dedup(docs)
-    emptied = (F.col("n_removed") > 0) & ~F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")
-    changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("clean_text")).otherwise(F.col("text")), "n_chars": F.when(changed, F.length("clean_text").cast("long")).otherwise(F.col("n_chars"))}
-    return found.where(~emptied).select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    found, changed = line_dedup(_beside(docs, "doc_id", "text")), F.col("n_removed") > 0
+    emptied = changed & ~F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
+    old = {c: F.col(f"whole_row.`{c}`") for c in docs.columns}
+    return found.where(~emptied).select(*[(F.when(changed, new[c]).otherwise(old[c]) if c in new else old[c]).alias(c) for c in docs.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    kept = near_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kept_id")).distinct()
-    return docs.join(kept.hint("merge"), F.coalesce("doc_id", F.lit(NO_ID)) == F.col("kept_id"), "left_semi")  # by sort and merge at every size
+    kept = near_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("near_kept_id")).distinct()
+    rows = _beside(docs, F.coalesce("doc_id", F.lit(NO_ID)).alias("near_id"))
+    return rows.join(kept.hint("merge"), F.col("near_id") == F.col("near_kept_id"), "left_semi").select("whole_row.*")  # by sort and merge at every size
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose sources, languages and registers have their target weights."""
-    return mix(docs).where("sampled").select(*docs.columns)
+    return mix(_beside(docs, "doc_id", "text", "source", "lang")).where("sampled").select("whole_row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
