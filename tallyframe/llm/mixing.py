@@ -97,11 +97,11 @@ def mix(docs: DataFrame, share: float = 0.8, power: float = 0.7, rounds: int = 9
         target = (targets or {}).get(margin)
         wanted[margin] = stored(tempered(cells, margin, power) if target is None else target.toDF(margin, "target"), "mix-target")
     found = probabilities(rake(cells, wanted, rounds), share)
-    found = found.select(*[F.col(m).alias(f"of_{m}") for m in MARGINS], F.col("ratio").alias("weight"), "probability")
+    found = found.select(*[F.col(m).alias(f"mix_cell_{m}") for m in MARGINS], F.col("ratio").alias("weight"), "probability")
     if found.count() <= BROADCAST_CELLS:
         found = F.broadcast(found)
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")), 1, 12), 16, 10).cast("long") / F.lit(float(DRAWS))
-    out = whole.join(found, [F.coalesce(F.col(m), F.lit("")) == F.col(f"of_{m}") for m in MARGINS], "left")
+    out = whole.join(found, [F.coalesce(F.col(m), F.lit("")) == F.col(f"mix_cell_{m}") for m in MARGINS], "left")
     out = out.withColumn("n_tokens", F.regexp_count(text, F.lit(WORD)).cast("long"))
     return out.select(*kept.columns, "n_tokens", "topic", "weight", "probability", (draw < F.col("probability")).alias("sampled"))
 

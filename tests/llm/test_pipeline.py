@@ -56,6 +56,16 @@ def test_every_stage_against_brute_force(spark):
     assert sum(n for b in bins.values() for _, n in b) == total and -(-total // 2048) <= len(bins) <= total / 2048 * 1.05 + 2
 
 
+def test_columns_with_the_operators_names_pass_through(spark):
+    extra = ["whole_row", "clean_text", "n_removed", "topic", "sampled", "weight", "key", "near_id", "kept"]
+    rows = [(i, f"Own words of document {i} here.", "en", "a", 1, *[f"{c}{i}" for c in extra]) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    for _, stage in p.STAGES[:4]:
+        docs = stored(stage(spark, docs, SF), "t")
+        got = {tuple(r) for r in docs.collect()}
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *extra] and got and got <= set(rows)
+
+
 def test_stages_survive_nulls_and_an_empty_table(spark):
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     rows = [(1, None, None, None, None), (None, "Some plain words here.", "en", "a", None), (2, "", "en", "a", 0)]
