@@ -111,7 +111,7 @@ def line_dedup(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", tex
     cleaned = F.expr("array_join(filter(split(whole, '\\n'), (x, p) -> NOT exists(gone, g -> p BETWEEN g.s AND g.e)), '\\n')")
     # a sort-merge join at every size: broadcast, the ranges would only fit while the input is small
     out = keyed.join(ranges.hint("merge"), ["doc", "twin"], "left").withColumn("clean", F.when(F.col("gone").isNull(), F.col("whole")).otherwise(cleaned))
-    n_lines = F.length("whole") - F.length(F.translate("whole", "\n", "")) + 1
+    n_lines = F.octet_length("whole") - F.octet_length(F.replace("whole", F.lit("\n"), F.lit(""))) + 1
     removed = F.coalesce(F.expr("aggregate(gone, 0L, (n, g) -> n + g.e - g.s + 1)"), F.lit(0).cast("long"))
     return out.select("row.*", n_lines.cast("long").alias("n_lines"), removed.alias("n_removed"), F.col("clean").alias("clean_text"))
 
