@@ -3,13 +3,12 @@
 With r1 = parts - SUMA_TOTAL and r2 = SUMA_TOTAL - TOTAL_E11, exchanging a value
 for one that is greater by d moves (r1, r2) by (d, 0) for a part, (-d, d) for
 SUMA_TOTAL and (0, -d) for TOTAL_E11. One exchange solves a sheet if its move is
-(-r1, -r2); two solve it if their moves add up to that, which is an equi-join on
-the sheet and the missing move instead of a search.
+(-r1, -r2); two solve it if their moves add up to that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -45,27 +44,30 @@ def decode(candidates: DataFrame, sheet: str = "mesa", uncertain: int = 8, small
     corregido_minimo (one exchange below ``small``), corregido_forzado, no_cuadra.
     The cheapest exchange wins, ties by box order. Pairs are only looked for among
     the ``uncertain`` boxes of least cost, in sheets that no single exchange solves.
+    A sheet has a few dozen values: they are gathered once, by one shuffle, and all
+    the rest happens in place.
     """
-    base = candidates.where("coste = 0").groupBy(sheet, "ord", "kind").agg(F.min("valor").alias("base"))
-    sums = base.groupBy(sheet).agg(*[F.sum(F.when(F.col("kind") == k, F.col("base")).otherwise(0)).alias(k) for k in ("parte", "suma", "e11")])
-    sums = sums.select(sheet, (F.col("parte") - F.col("suma")).alias("r1"), (F.col("suma") - F.col("e11")).alias("r2"))
-    swaps = candidates.where("coste > 0").join(base, [sheet, "ord", "kind"]).withColumn("d", F.col("valor") - F.col("base"))
-    v1 = F.when(F.col("kind") == "parte", F.col("d")).when(F.col("kind") == "suma", -F.col("d")).otherwise(0)
-    v2 = F.when(F.col("kind") == "parte", 0).when(F.col("kind") == "suma", F.col("d")).otherwise(-F.col("d"))
-    swaps = swaps.select(sheet, "ord", "valor", "coste", v1.alias("v1"), v2.alias("v2")).join(sums, sheet).where("r1 <> 0 OR r2 <> 0")
-    pick = lambda df, *cols: df.groupBy(sheet).agg(F.min(F.struct(*cols)).alias("best"))
-    single = pick(swaps.where("v1 = -r1 AND v2 = -r2"), "coste", "ord", "valor").select(sheet, F.lit(1).alias("n"), F.col("best.coste").alias("c"), F.array("best.ord").alias("cajas"))
-    open_ = swaps.join(single.select(sheet), sheet, "left_anti")
-    boxes = open_.groupBy(sheet, "ord").agg(F.min("coste").alias("least"))
-    boxes = boxes.withColumn("place", F.row_number().over(Window.partitionBy(sheet).orderBy("least", "ord"))).where(F.col("place") <= uncertain)
-    open_ = open_.join(boxes.select(sheet, "ord"), [sheet, "ord"])
-    a = open_.select(sheet, F.col("ord").alias("oa"), F.col("valor").alias("va"), F.col("coste").alias("ca"), (-F.col("r1") - F.col("v1")).alias("v1"), (-F.col("r2") - F.col("v2")).alias("v2"))
-    b = open_.select(sheet, F.col("ord").alias("ob"), F.col("valor").alias("vb"), F.col("coste").alias("cb"), "v1", "v2")
-    pairs = a.join(b, [sheet, "v1", "v2"]).where("oa < ob").withColumn("coste", F.col("ca") + F.col("cb"))
-    double = pick(pairs, "coste", "oa", "ob", "va", "vb").select(sheet, F.lit(2).alias("n"), F.col("best.coste").alias("c"), F.array("best.oa", "best.ob").alias("cajas"))
-    out = sums.join(single.unionByName(double), sheet, "left")
-    state = F.when((F.col("r1") == 0) & (F.col("r2") == 0), "directo").when(F.col("n").isNull(), "no_cuadra").when((F.col("n") == 1) & (F.col("c") < small), "corregido_minimo").otherwise("corregido_forzado")
-    return out.select(sheet, state.alias("estado"), F.coalesce("n", F.lit(0)).alias("n_cambios"), F.coalesce("c", F.lit(0.0)).alias("coste"), F.coalesce("cajas", F.array().cast("array<int>")).alias("cajas"))
+    dealt = candidates.select(sheet, "ord", "kind", F.col("valor").cast("bigint").alias("valor"), F.col("coste").cast("double").alias("coste")).repartition(sheet)
+    others = F.collect_list(F.when(F.col("coste") > 0, F.struct("coste", "valor")))
+    boxes = dealt.groupBy(sheet, "ord", "kind").agg(F.min(F.when(F.col("coste") == 0, F.col("valor"))).alias("base"), others.alias("alts")).where("base IS NOT NULL")
+    rows = boxes.groupBy(sheet).agg(F.collect_list(F.struct("ord", "kind", "base", "alts")).alias("cs"))
+    total = lambda plus, minus: f"aggregate(cs, 0L, (n, c) -> n + CASE c.kind WHEN '{plus}' THEN c.base WHEN '{minus}' THEN -c.base ELSE 0L END)"
+    rows = rows.withColumns({"r1": F.expr(total("parte", "suma")), "r2": F.expr(total("suma", "e11"))})
+    moved = """transform(c.alts, x -> named_struct('coste', x.coste, 'ord', c.ord, 'valor', x.valor,
+        'v1', CASE c.kind WHEN 'parte' THEN x.valor - c.base WHEN 'suma' THEN c.base - x.valor ELSE 0L END,
+        'v2', CASE c.kind WHEN 'suma' THEN x.valor - c.base WHEN 'e11' THEN c.base - x.valor ELSE 0L END))"""
+    rows = rows.withColumn("swaps", F.expr(f"CASE WHEN r1 <> 0 OR r2 <> 0 THEN flatten(transform(cs, c -> {moved})) END"))
+    rows = rows.withColumn("single", F.expr("array_min(transform(filter(swaps, a -> a.v1 = -r1 AND a.v2 = -r2), a -> named_struct('c', a.coste, 'o', a.ord)))"))
+    least = "array_sort(transform(filter(cs, c -> size(c.alts) > 0), c -> named_struct('c', array_min(c.alts).coste, 'o', c.ord)))"
+    rows = rows.withColumn("near", F.expr(f"transform(slice({least}, 1, {uncertain}), x -> x.o)"))
+    rows = rows.withColumn("loose", F.expr("CASE WHEN single IS NULL THEN filter(swaps, a -> array_contains(near, a.ord)) END"))
+    fit = "filter(loose, b -> b.ord > a.ord AND a.v1 + b.v1 = -r1 AND a.v2 + b.v2 = -r2)"
+    rows = rows.withColumn("double", F.expr(f"array_min(flatten(transform(loose, a -> transform({fit}, b -> named_struct('c', a.coste + b.coste, 'o', a.ord, 'p', b.ord)))))"))
+    state = F.when((F.col("r1") == 0) & (F.col("r2") == 0), "directo").when(F.col("single.c") < small, "corregido_minimo")
+    state = state.when(F.col("single").isNotNull() | F.col("double").isNotNull(), "corregido_forzado").otherwise("no_cuadra")
+    n = F.when(F.col("single").isNotNull(), 1).when(F.col("double").isNotNull(), 2).otherwise(0)
+    where = F.when(n == 1, F.array("single.o")).when(n == 2, F.array("double.o", "double.p")).otherwise(F.array().cast("array<int>"))
+    return rows.select(sheet, state.alias("estado"), n.alias("n_cambios"), F.coalesce("single.c", "double.c", F.lit(0.0)).alias("coste"), where.alias("cajas"))
 
 
 def pseudo_labels(labels: DataFrame, predictions: DataFrame, least: float = 0.995) -> DataFrame:
