@@ -45,7 +45,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and registers have their target weights."""
+    """A sample of 0.8 of the tokens, drawn towards the target weights of sources, languages and registers; small values miss theirs (README)."""
     return mix(_beside(docs, "doc_id", "text", "source", "lang")).where("sampled").select("whole_row.*")
 
 

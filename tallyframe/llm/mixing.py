@@ -3,14 +3,18 @@
 Documents are summed to cells of source, language and topic, with their tokens
 as weight. Raking multiplies the cells' weights, one margin after another, so
 that each margin's totals meet their targets; that is repeated. A cell's ratio
-of fitted to present weight, times a common factor that meets the token budget
-and never lets a probability exceed 1, is the probability with which each of
-its documents is kept. Only cells are raked, so no hot source is ever gathered:
+of fitted to present weight, times a common factor that meets the token budget,
+is the probability with which each of its documents is kept. It is cut at 1:
+where that happens the budget wants more than a cell holds, the rest goes to
+the other cells and the sample misses its targets (``realised`` tells by how
+much); without a given share the budget is the largest that cuts no cell. Only cells are raked, so no hot source is ever gathered:
 it is summed on the map side and its documents are read where they lie.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 BROADCAST_CELLS = 20_000
 #: Documents draw one of so many numbers.
 DRAWS = 1 << 48
+#: Raking goes on after the given rounds, up to so many, while a margin's shares are further than this from their targets.
+TOLERANCE, MOST_ROUNDS = 1e-3, 99
 
 
 def topic_of(text: Column) -> Column:
@@ -58,9 +64,38 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFr
     return fitted.select(*MARGINS, "tokens", "fitted")
 
 
-def probabilities(fitted: DataFrame, share: float) -> DataFrame:
-    """Cells with ``ratio`` and ``probability``; the expected tokens are ``share`` of all."""
+def residual(fitted: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """The largest difference between a margin value's share of ``fitted`` and its share of the targets."""
+    worst = 0.0
+    for margin, target in targets.items():
+        goal = target.groupBy(F.col(margin).alias("value")).agg(F.sum("target").alias("goal"))
+        now = fitted.groupBy(F.col(margin).alias("value")).agg(F.sum("fitted").alias("now"))
+        both = goal.join(now, "value", "full").select(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("goal", "now")])
+        off = F.abs(F.try_divide("now", F.col("all_now")) - F.try_divide("goal", F.col("all_goal")))
+        whole = both.agg(F.sum("now").alias("all_now"), F.sum("goal").alias("all_goal"))
+        worst = max(worst, both.join(F.broadcast(whole)).agg(F.max(off)).first()[0] or 0.0)
+    return worst
+
+
+def rake_until_met(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFrame:
+    """``rake`` for ``rounds`` and, while the margins are off by more than ``TOLERANCE``, for more; warns of what is left."""
+    while True:
+        fitted = rake(cells, targets, rounds)
+        off = residual(fitted, targets)
+        if off <= TOLERANCE or rounds >= MOST_ROUNDS:
+            break
+        rounds = min(MOST_ROUNDS, 3 * max(rounds, 1))
+    if off > TOLERANCE:
+        warnings.warn(f"after {rounds} rounds of raking a margin's share is still {off:.4f} from its target", stacklevel=2)
+    return fitted
+
+
+def probabilities(fitted: DataFrame, share: float | None) -> DataFrame:
+    """Cells with ``ratio`` and ``probability``; the expected tokens are ``share`` of all (None: the largest share that cuts no probability)."""
     cells = stored(fitted.withColumn("ratio", F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(1.0)), "mix-ratios")
+    if share is None:
+        most = cells.where("tokens > 0").agg(F.max("ratio")).first()[0]
+        return cells.withColumn("probability", F.round(F.least(F.lit(1.0), F.col("ratio") / F.lit(most or 1.0)), 9))
     budget, factor = (cells.agg(F.sum("tokens")).first()[0] or 0) * share, 0.0
     while True:  # cells that reach probability 1 leave the rest of the budget to the others
         full = F.col("ratio") * F.lit(factor) >= 1
@@ -74,13 +109,15 @@ def probabilities(fitted: DataFrame, share: float) -> DataFrame:
     return cells.withColumn("probability", F.round(F.least(F.lit(1.0), F.col("ratio") * F.lit(factor)), 9))
 
 
-def mix(docs: DataFrame, share: float = 0.8, power: float = 0.7, rounds: int = 9, seed: int = 0, targets: dict[str, DataFrame] | None = None, topic: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, share: float | None = 0.8, power: float = 0.7, rounds: int = 9, seed: int = 0, targets: dict[str, DataFrame] | None = None, topic: Column | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``topic``, ``weight``, ``probability`` and ``sampled``.
 
     ``targets`` gives for any margin a table of (value, target tokens); the others
     are tempered by ``power``. A value that a given margin leaves out
     gets no weight, so none of its documents is sampled.
-    ``weight`` is the cell's ratio of fitted to present tokens. Null sources,
+    ``weight`` is the cell's ratio of fitted to present tokens. With a given ``share``
+    probabilities may be cut at 1, and the sample's margins then miss their targets;
+    ``share=None`` keeps as much as meets them all. Null sources,
     languages and texts count as empty strings; a text without words weighs 0 tokens
     and is sampled like its cell. A document is drawn by the hash of its id (null:
     empty), so rows with one id are sampled alike. An empty table gives an empty
@@ -96,7 +133,7 @@ def mix(docs: DataFrame, share: float = 0.8, power: float = 0.7, rounds: int = 9
     for margin in MARGINS:
         target = (targets or {}).get(margin)
         wanted[margin] = stored(tempered(cells, margin, power) if target is None else target.toDF(margin, "target"), "mix-target")
-    found = probabilities(rake(cells, wanted, rounds), share)
+    found = probabilities(rake_until_met(cells, wanted, rounds), share)
     found = found.select(*[F.col(m).alias(f"mix_cell_{m}") for m in MARGINS], F.col("ratio").alias("weight"), "probability")
     if found.count() <= BROADCAST_CELLS:
         found = F.broadcast(found)
@@ -106,6 +143,18 @@ def mix(docs: DataFrame, share: float = 0.8, power: float = 0.7, rounds: int = 9
     return out.select(*kept.columns, "n_tokens", "topic", "weight", "probability", (draw < F.col("probability")).alias("sampled"))
 
 
+def realised(mixed: DataFrame) -> DataFrame:
+    """``margin, value`` and shares of tokens, of a result of ``mix``: ``present``, ``target`` (as raked), ``expected`` and ``sampled``."""
+    n = F.col("n_tokens")
+    sums = {"present": n, "target": n * F.col("weight"), "expected": n * F.col("probability"), "sampled": F.when(F.col("sampled"), n).otherwise(0)}
+    cells = mixed.groupBy(*MARGINS).agg(*[F.sum(v).cast("double").alias(k) for k, v in sums.items()])
+    cells = stored(cells.select(*[F.coalesce(m, F.lit("")).alias(m) for m in MARGINS], *sums), "mix-realised")
+    whole = cells.agg(*[F.sum(k).alias(f"all_{k}") for k in sums])
+    values = F.explode(F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("value")) for m in MARGINS]))
+    found = cells.select(values.alias("v"), *sums).groupBy("v.margin", "v.value").agg(*[F.sum(k).alias(k) for k in sums])
+    return found.join(F.broadcast(whole)).select("margin", "value", *[F.try_divide(F.col(k), F.col(f"all_{k}")).alias(k) for k in sums])
+
+
 def op5_mixing(spark, sf_dir):
     found = mix(documents(spark, sf_dir))
     return found.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 4).alias("weight"), F.round("probability", 4).alias("probability"), "sampled")

@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.llm.mixing import MARGINS, mix, probabilities, rake
+from tallyframe.llm import mixing
+from tallyframe.llm.mixing import MARGINS, mix, probabilities, rake, rake_until_met, realised, residual
 
 
 def table(spark, n=3000):
@@ -57,3 +58,24 @@ def test_given_targets_nulls_empty_texts_and_empty_table(spark):
     assert mix(docs.limit(0)).count() == 0
     goal = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "v string, t double")
     assert {m for m in MARGINS} == {"source", "lang", "topic"} and mix(docs.where("source IS NOT NULL"), targets={"source": goal}, topic=F.lit("t")).count() == 3
+
+
+def test_without_a_share_the_sample_has_its_target_weights(spark):
+    docs = table(spark)
+    goal = spark.createDataFrame([("en", 1.0), ("de", 6.0), ("", 1.0)], "v string, t double")
+    far = lambda share: max(abs(r.expected - r.target) for r in realised(mix(docs, share=share, targets={"lang": goal})).collect())
+    assert far(0.8) > 0.05 and far(None) < 1e-6
+    rows = {r.value: r for r in realised(mix(docs, share=None, targets={"lang": goal})).where("margin = 'lang'").collect()}
+    assert [rows[v].target for v in ("en", "de", "")] == pytest.approx([0.125, 0.75, 0.125], abs=1e-3)
+    assert all(r.sampled == pytest.approx(r.target, abs=0.05) for r in rows.values()) and max(r.probability for r in mix(docs, share=None).collect()) == 1
+
+
+def test_raking_goes_on_until_its_margins_are_met_and_warns_where_they_cannot_be(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "x", "p", 1), ("b", "x", "p", 1000), ("b", "y", "p", 10)], "source string, lang string, topic string, tokens long")
+    goals = {"source": {"a": 100.0, "b": 100.0}, "lang": {"x": 110.0, "y": 90.0}}
+    targets = {m: spark.createDataFrame(list(g.items()), f"{m} string, target double") for m, g in goals.items()}
+    assert residual(rake(cells, targets, 9), targets) > 1e-3 and residual(rake_until_met(cells, targets, 9), targets) <= 1e-3
+    missing = {"source": spark.createDataFrame([("a", 1.0), ("b", 1.0), ("nowhere", 2.0)], "source string, target double")}
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 3)
+    with pytest.warns(UserWarning, match="after 3 rounds of raking a margin's share is still 0.5000"):
+        rake_until_met(cells, missing, 1)
