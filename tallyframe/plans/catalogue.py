@@ -205,7 +205,7 @@ def census_summary(spark, d):
 
 @query(f"WITH {b.VOTES}, few AS (SELECT DISTINCT dep, muni FROM votes WHERE mesa % 60 = 1) SELECT c.* FROM census c ANTI JOIN few s ON c.dep = s.dep AND c.muni = s.muni")
 def places_without_votes(spark, d):
-    return census.without_votes(b.votes(spark, d).where("mesa % 60 = 1"), b.census(spark, d), ["dep", "muni"])
+    return census.without_votes(b.votes(spark, d), b.census(spark, d), ["dep", "muni"])
 
 
 # snapshots
