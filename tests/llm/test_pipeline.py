@@ -73,3 +73,12 @@ def test_stages_survive_nulls_and_an_empty_table(spark):
         for _, stage in p.STAGES[1:]:
             docs = stored(stage(spark, docs, SF), "t")
         assert docs.count() <= 3
+
+
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_rows_without_an_id_of_their_own_go_one_by_one(spark, monkeypatch, most):
+    monkeypatch.setattr(p, "BROADCAST_IDS", most)
+    base, other, third = (" ".join(f"{w}{k}" for k in range(60)) for w in ("a", "b", "c"))
+    rows = [(1, base), (None, base + " end"), (None, other), (7, third), (7, base + " close"), (8, "some words of its own"), (9, third + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(p.near(spark, docs, SF).collect(), key=str) == sorted([rows[0], rows[2], rows[5], rows[6]], key=str)
