@@ -1,7 +1,9 @@
 import hashlib
 import re
 
-from tallyframe.llm.exact_dedup import exact_dedup, grown_directory
+from pyspark.sql import functions as F
+
+from tallyframe.llm.exact_dedup import Directory, built_index, exact_dedup, grown_directory, looked_up
 
 
 def brute(rows):
@@ -38,3 +40,24 @@ def test_directory_doubles_and_splits_only_overfull_buckets():
     depth, local = grown_directory({0: 3, 1: 1, 4: 1}, 3, 2)
     assert (depth, local) == (3, [3, 3, 2, 2, 1, 1, 1, 1])
     assert grown_directory({0: 9}, 2, 1) == (2, [2, 2, 1, 1])
+
+
+def test_rows_are_found_by_the_directory_and_the_chain_decides(spark):
+    rows = [(i, ("same", "other", f"own {i}")[min(2, i % 9)]) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, norm string").withColumn("key", F.when(F.col("norm").isin("same", "other"), F.lit(-5).cast("long")).otherwise(F.xxhash64("norm")))
+    entries = table.select("doc_id", "key", F.unhex(F.sha2("norm", 256)).alias("sha"))
+    keys = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("keep_id"), F.min("sha").alias("sha"))
+    counts = {}
+    for r in keys.collect():
+        slot = (r.key % 2**64) >> 60
+        counts[slot] = counts.get(slot, 0) + 1
+    directory = Directory(counts, 4, 8, 4)
+    index = built_index(table, keys, directory)
+    got = {(r.doc_id, r.keep_id, r.group_size) for r in looked_up(entries, index, directory, 200).collect()}
+    size = {"same": 23, "other": 23}
+    assert got == {(i, {"same": 0, "other": 1}.get(t, i), size.get(t, 1)) for i, t in rows}
+    assert sorted(r.chain for r in index.where("key = -5").collect()) == [1, 2]  # two texts of one key, told apart by their bytes
+    assert sorted(set(directory.owner)) == list(range(4)) and directory.owner == sorted(directory.owner)
+    broken = Directory(counts, 4, 8, 4)
+    broken.local = [0] * len(broken.local)  # all slots point to the first bucket
+    assert {r.bucket for r in looked_up(entries, index, broken, 200).collect()} <= {0} and looked_up(entries, index, broken, 200).count() < 200
