@@ -11,7 +11,7 @@ from tallyframe.llm.packing import op8_packing
 from tallyframe.llm.quality import op2_quality
 from tallyframe.llm.secrets import op3_secrets
 from tallyframe.llm.sharding import op7_sharding
-from tallyframe.llm.token_counts import OP9_SQL, op9_token_counts
+from tallyframe.llm.token_counts import op9_token_counts
 
 
 def queries():
@@ -30,4 +30,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_line_dedup": OP1_SQL, "op5_mixing": OP5_SQL, "op9_token_counts": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op5_mixing": OP5_SQL, "op10_exact_dedup": OP10_SQL}

@@ -8,6 +8,11 @@ residual fits best and under every constraint. The driver sees one count for
 each length (at most ``max_tokens`` of them) and classes of sequences as ranges
 of numbers, whatever the number of documents; the executors then look up each
 piece by its length and its rank among the pieces of that length.
+
+Limits of documents and attention that aren't given are made as tight as they
+can be without a further sequence: first documents, then attention, step by
+step, while the number of sequences stays what the token limit alone gives. A
+sequence of one piece is always allowed.
 """
 
 from __future__ import annotations
@@ -62,15 +67,12 @@ def best_fit(counts: dict[int, int], capacity: tuple[int, int, int], weights: tu
     classes: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
     out, sequences = [], 0
 
-    def fits(left, size):
-        return all(a >= b for a, b in zip(left, size))
-
     def taken(left, size):
         return tuple(a - b for a, b in zip(left, size))
 
     for length in sorted(counts, reverse=True):
         size, n, rank = (length, 1, length * length), counts[length], 0
-        if not fits(capacity, size):
+        if length > capacity[0]:
             raise ValueError(f"no sequence can hold a piece of {length} tokens")
         while n:
             keys = [k for k in classes if k[0] >= length and k[1] >= 1 and k[2] >= size[2]]
@@ -93,48 +95,70 @@ def best_fit(counts: dict[int, int], capacity: tuple[int, int, int], weights: tu
             if not ranges:
                 del classes[best]
             rest = taken(best, size)
-            if rest[0] and rest[1] and rest[2]:
+            if min(rest) > 0:
                 classes.setdefault(rest, []).extend(moved)
         if n:
-            each = min(c // s for c, s in zip(capacity, size))
+            each = max(1, min(c // s for c, s in zip(capacity, size)))  # one piece is always allowed
             for bins, inside in ((n // each, each), (1, n % each)):  # full new sequences, then one with the rest
                 if bins and inside:
                     rest = capacity
                     for k in range(inside):
                         out.append((length, rank, bins, sequences, k * length))
                         rank, rest = rank + bins, taken(rest, size)
-                    if rest[0] and rest[1] and rest[2]:
+                    if min(rest) > 0:
                         classes.setdefault(rest, []).append((sequences, bins))
                     sequences += bins
     return out
 
 
-def pack(docs: DataFrame, max_tokens: int = 2048, max_documents: int | None = None, max_attention: int | None = None, tokenizer: str = WORD_BPE, rule: str = "norm", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sequences_of(places) -> int:
+    return max((first + n for _, _, n, first, _ in places), default=0)
+
+
+def tightest(counts: dict[int, int], max_tokens: int, max_documents: int | None, max_attention: int | None, rule: str):
+    """The capacity and the places of its best fit; limits that aren't given are tightened while they cost no sequence."""
+    capacity = [max_tokens, max_documents or max_tokens, max_attention or max_tokens * max_tokens]
+    places = best_fit(counts, tuple(capacity), rule=rule)
+    for dimension, given, steps in ((1, max_documents, [int(max_tokens * 0.7**k) for k in range(1, 22)]), (2, max_attention, [max_tokens * max_tokens * k // 16 for k in range(15, 0, -1)])):
+        for step in [] if given else steps:
+            tried = [*capacity[:dimension], step, *capacity[dimension + 1 :]]
+            found = best_fit(counts, tuple(tried), rule=rule) if step else []
+            if not step or sequences_of(found) > sequences_of(places):
+                break
+            capacity, places = tried, found
+    return tuple(capacity), places
+
+
+#: Places are broadcast up to this number of rows of five numbers (8 MB); beyond it they are shuffled.
+BROADCAST_PLACES = 200_000
+
+
+def pack(docs: DataFrame, max_tokens: int = 2048, max_documents: int | None = None, max_attention: int | None = None, tokenizer: str = WORD_BPE, rule: str = "norm", id_col: str = "doc_id", text_col: str = "text", broadcast_places: int = BROADCAST_PLACES) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     ``tokenizer`` is a vocabulary file: a path that every executor has, or the
-    name of one beside the installed public vocabularies. Without
-    ``max_documents`` and ``max_attention`` only tokens limit a sequence.
+    name of one beside the installed public vocabularies. Limits that aren't given
+    are the tightest that cost no further sequence (``tightest``).
 
     Null and empty texts are one piece of one id. Repeated rows are pieces of their
     own. An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    capacity = (max_tokens, max_documents or max_tokens, max_attention or max_tokens * max_tokens)
     pieces = cut_pieces(docs, max_tokens, tokenizer, id_col, text_col)
 
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(max(16, partitions(spark)))))
     groups = stored(salted.groupBy("length", "salt").count(), "pack-counts")  # at most lengths x salts
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     groups = groups.withColumn("before", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
-    counts = {r["length"]: r["n"] for r in salted.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    places = best_fit(counts, capacity, rule=rule)
-    places = spark.createDataFrame(places, "length long, first long, number long, sequence long, offset long")
+    _, places = tightest(counts, max_tokens, max_documents, max_attention, rule)
+    found = spark.createDataFrame(places, "length long, first long, number long, sequence long, offset long")
+    found = F.broadcast(found) if len(places) <= broadcast_places else found.hint("shuffle_hash")
 
     inside = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("nth", F.row_number().over(inside) - 1).join(groups, ["length", "salt"])
+    ranked = salted.withColumn("nth", F.row_number().over(inside) - 1).join(groups.hint("merge"), ["length", "salt"])  # dealt and sorted for the ranks already
     ranked = ranked.withColumn("rank", F.col("nth") + F.col("before")).alias("p")
-    found = ranked.join(F.broadcast(places).alias("b"), F.expr("p.length = b.length AND p.rank >= b.first AND p.rank < b.first + b.number"))
+    found = ranked.join(found.alias("b"), F.expr("p.length = b.length AND p.rank >= b.first AND p.rank < b.first + b.number"))
     return found.select("doc_id", "piece", "start", F.col("p.length").alias("length"), "ids_crc32", F.expr("b.sequence + p.rank - b.first").alias("sequence_id"), "offset")
 
 

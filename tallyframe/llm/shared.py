@@ -121,13 +121,19 @@ def worker_table(name: str, make):
     return _tables[name]
 
 
+#: Bytes of an Arrow batch, whatever its number of rows.
+BATCH_BYTES = 16 << 20
+
+
 def arrow_map(df: DataFrame, function, schema, rows: int = 500) -> DataFrame:
-    """``df.mapInArrow`` in record batches of ``rows`` rows, so that long texts don't fill a worker; stored."""
-    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
-    before = spark.conf.get(key)
+    """``df.mapInArrow`` in record batches of ``rows`` rows or ``BATCH_BYTES`` at most, so that long texts don't fill a worker; stored."""
+    wanted, spark = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}, df.sparkSession
+    before = {k: spark.conf.get(k) for k in wanted}
     importable(spark)
-    spark.conf.set(key, str(rows))
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, str(v))
         return stored(df.mapInArrow(function, schema), "rows")
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -1,7 +1,10 @@
 """Token ids of a public word-level BPE vocabulary, by cached chunks.
 
 The vocabulary's pattern never joins characters across a space or a line feed,
-so the ids of a text are those of its chunks between them, one after another.
+nor do its special tokens hold any, so the ids of a text are those of its
+chunks between them, one after another. They are the tokenizer's own for the
+whole text with ``add_special_tokens=False``: a special token's string in a text
+is that token.
 """
 
 from __future__ import annotations
@@ -27,7 +30,6 @@ def _tokenizers(path: str):
 
         path = public_tokenizers.path(path)
     whole, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    whole.encode_special_tokens = plain.encode_special_tokens = True
     plain.normalizer, plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
     return whole, plain
 
@@ -121,6 +123,28 @@ def chunk_ids(path: str) -> ChunkIds:
     return worker_table(f"chunks {path}", lambda: ChunkIds(path))
 
 
+@lru_cache(maxsize=2)
+def _byte_encoding(path: str):
+    """The encoding of a rank file: a token and its rank in each line."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path if os.path.isabs(path) else public_tokenizers.path(path), "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def token_counts(path: str, texts) -> list[int]:
+    """Numbers of tokens of an Arrow column of texts, by a vocabulary file: ranks (``.tiktoken``) or words (``.json``, see ``ChunkIds``)."""
+    if path.endswith(".tiktoken"):
+        encoding = _byte_encoding(path)
+        return [len(encoding.encode_ordinary(t)) for t in texts.to_pylist()]
+    _, ends = chunk_ids(path).column(texts)
+    return (ends[1:] - ends[:-1]).tolist()
+
+
 def portions(column, most: int = 1 << 23):
     """Slices of an Arrow column of texts of up to about ``most`` bytes; a longer text is a slice of its own."""
     import numpy as np

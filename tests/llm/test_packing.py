@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tallyframe.llm.packing import best_fit, pack
+from tallyframe.llm.packing import best_fit, pack, sequences_of, tightest
 from tallyframe.llm.tokens import WORD_BPE, ChunkIds
 
 P = pytest.importorskip("public_tokenizers")
@@ -14,7 +14,6 @@ def plain():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path(WORD_BPE))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -22,7 +21,7 @@ def test_chunked_ids_equal_the_tokenizers():
     rng, one, table = random.Random(4), plain(), ChunkIds(WORD_BPE, limit=300)
     signs = "aAbZé \n\t\x0b\x1c  é'sS0١9!?_-.,İſKßΣς​한글ก็👍🏽̀\x00<|>"
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
-    texts += ["Word, word. WORD.. it's we'll. É. éa, don't.", "<|endoftext|> x", "", " "]
+    texts += ["Word, word. WORD.. it's we'll. É. éa, don't.", "<|endoftext|> x", "one <|endoftext|> two", "a<|startoftext|>b. <|EndOfText|>\n<|endoftext", "<|endoftext|><|endoftext|>.", "", " "]
     for at in range(0, len(texts), 50):
         got = table.ids(texts[at : at + 50])
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [one(t) for t in texts[at : at + 50]]
@@ -40,7 +39,7 @@ def filled(places, counts, capacity):
         for offset, length, _ in sorted(b):
             assert offset == at
             at += length
-        assert at <= capacity[0] and len(b) <= capacity[1] and sum(x * x for _, x, _ in b) <= capacity[2]
+        assert at <= capacity[0] and len(b) <= capacity[1] and (len(b) == 1 or sum(x * x for _, x, _ in b) <= capacity[2])
     assert set(bins) == set(range(len(bins)))
     return len(bins)
 
@@ -58,11 +57,25 @@ def test_every_constraint_holds_and_sequences_are_few(rule, capacity):
     assert n <= 1.05 * least + 1 or capacity[1] < 100 and n <= 1.3 * least
 
 
-def test_attention_cost_binds():
-    places = best_fit({50: 4}, (100, 100, 4000))
-    assert filled(places, {50: 4}, (100, 100, 4000)) == 4
+def test_attention_cost_binds_but_one_piece_is_allowed():
+    for cap in (4000, 2000):
+        assert filled(best_fit({50: 4}, (100, 100, cap)), {50: 4}, (100, 100, cap)) == 4
     with pytest.raises(ValueError):
-        best_fit({50: 1}, (100, 100, 2000))
+        best_fit({101: 1}, (100, 100, 20_000))
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_limits_that_are_not_given_are_tightened_without_a_further_sequence(rule):
+    rng, counts = random.Random(3), {100: 40}
+    for _ in range(3000):
+        n = min(100, int(rng.expovariate(1 / 20)) + 1)
+        counts[n] = counts.get(n, 0) + 1
+    capacity, places = tightest(counts, 100, None, None, rule)
+    least = sequences_of(best_fit(counts, (100, 100, 10_000), rule=rule))
+    assert filled(places, counts, capacity) <= least
+    assert capacity[1] < 100 and capacity[2] < 10_000  # both bind
+    assert any(sequences_of(best_fit(counts, (100, d, 10_000), rule=rule)) > least for d in (capacity[1] // 2, 1))
+    assert tightest(counts, 100, 7, 9000, rule)[0] == (100, 7, 9000) and tightest({}, 100, None, None, rule)[1] == []
 
 
 def test_pack_round_trip(spark):
@@ -92,3 +105,9 @@ def test_pack_repeated_rows_and_empty_table(spark):
     got = pack(docs).collect()
     assert len(got) == 4 and sorted(r.offset for r in got) == sorted({r.offset for r in got})
     assert pack(docs.limit(0)).count() == 0
+
+
+def test_places_are_shuffled_beyond_the_broadcast_bound_with_the_same_result(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 70)) for i in range(300)], "doc_id long, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(pack(docs, 64)) == rows(pack(docs, 64, broadcast_places=0))

@@ -14,6 +14,7 @@ from tallyframe import llm
 from test_fingerprint import brute as fingerprint_brute
 from test_near_dedup import brute as near_brute
 from test_secrets import brute as secret_brute
+from test_token_counts import brute as token_brute
 
 SF = "/root/testdata/sf0.001"
 TEXTS = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall())
@@ -92,6 +93,14 @@ def test_op8(spark):
     assert len(bins) <= 1.02 * sum(seen.values()) / 2048 + 1
 
 
+def test_op9(spark):
+    rows = duckdb.sql(f"SELECT doc_id, source, lang, text FROM '{SF}/documents.parquet'").fetchall()
+    ids = lambda where: {i for (i,) in duckdb.sql(f"SELECT doc_id FROM '{SF}/labels.parquet' WHERE {where}").fetchall()}
+    low = ids("quality = 0")
+    got = {(r.source, r.lang, r.tokenizer): (r.documents, r.tokens) for r in run(spark, "op9_token_counts").collect()}
+    assert got == token_brute(rows, ids("toxic = 1"), {i: (t or "").split("\n")[0] for i, _, _, t in rows if i in low})
+
+
 def test_nothing_else_imports_the_subpackage():
     root = Path(llm.__file__).parents[2]
     for path in (root / "tallyframe").rglob("*.py"):

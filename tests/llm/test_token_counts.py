@@ -1,19 +1,36 @@
-import re
+import base64
+
+import pytest
 
 from tallyframe.llm.shared import new_path
 from tallyframe.llm.token_counts import TOKENIZERS, Rollup, token_rollup
 
 
+P = pytest.importorskip("public_tokenizers")
+
+
+def lengths():
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    word = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
+    byte = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return {"word_bpe_49k": lambda t: len(word.encode(t, add_special_tokens=False).ids), "byte_bpe_50k": lambda t: len(byte.encode_ordinary(t))}
+
+
 def brute(docs, removed, revised):
+    by = lengths()
+    assert set(by) == set(TOKENIZERS)
     total = {}
     for i, source, lang, text in docs:
         if i is not None and i in removed:
             continue
         text = revised.get(i, text) if i is not None else text
-        for name, pattern in TOKENIZERS.items():
+        for name, length in by.items():
             key = (source or "", lang or "", name)
             n, t = total.get(key, (0, 0))
-            total[key] = (n + 1, t + len(re.findall(pattern, text or "")))
+            total[key] = (n + 1, t + length(text or ""))
     return total
 
 
@@ -46,16 +63,30 @@ def test_commits_are_idempotent_and_snapshots_keep_totals(spark):
     assert found(rollup.totals()) == {("s", "en", "t"): (1, 10)} and not rollup.commit("a", deltas(("s", "en", "t", 1, 1)))
 
 
-def test_an_unfinished_batch_is_not_counted_and_is_replaced(spark):
+def test_an_unfinished_batch_is_not_counted_and_of_two_writers_one_wins(spark):
     rollup = Rollup(spark, new_path(spark, "rollup-test"))
     row = spark.createDataFrame([("s", "en", "t", 1, 10)], "source string, lang string, tokenizer string, documents long, tokens long")
-    row.write.parquet(f"{rollup.path}/a")
-    system, mark = rollup._folder(f"{rollup.path}/a/_SUCCESS")
-    system.delete(mark, False)
+    made = new_path(spark, "token-batch")
+    row.write.parquet(made)  # a commit that was lost before its last step
     assert rollup.totals().count() == 0 and rollup.commit("a", row)
+    assert not rollup._moved(made, f"{rollup.path}/batches/a") and not rollup._folder(made)[0].exists(rollup._folder(made)[1])
     assert found(rollup.totals()) == {("s", "en", "t"): (1, 10)}
 
 
+def test_hundreds_of_batches_and_snapshots(spark):
+    rollup, schema = Rollup(spark, new_path(spark, "rollup-test")), "source string, lang string, tokenizer string, documents long, tokens long"
+    one = new_path(spark, "token-batch")
+    spark.createDataFrame([("s", "en", "t", 1, 10)], schema).coalesce(1).write.parquet(one)
+    system, place = rollup._folder(one)
+    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    for k in range(300):
+        copy(system, place, system, rollup._folder(f"{rollup.path}/batches/a-batch-with-a-long-name-{k:06d}")[1], False, spark._jsc.hadoopConfiguration())
+        if k in (150, 299):
+            assert rollup.compact()
+    assert not rollup.compact() and len(rollup.committed()) == 300 and found(rollup.totals()) == {("s", "en", "t"): (300, 3000)}
+    assert not rollup.commit("a-batch-with-a-long-name-000007", spark.createDataFrame([("s", "en", "t", 1, 10)], schema))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, source string, lang string, text string")
     assert token_rollup(docs, docs.select("doc_id"), docs.select("doc_id", "text")).count() == 0
