@@ -246,13 +246,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         walked = spark.read.schema(WALKED).parquet(walked_path)
 
         firsts = {r["block"] for r in walked.where("part = 1").select("block").collect()}  # one row a partition
-        follows = sorted(firsts)
-        follows = dict(zip(follows, follows[1:] + follows[:1]))
+        order = sorted(firsts)
+        follows = spark.createDataFrame(list(zip(order, order[1:] + order[:1])), "block int, at int")
         done_path = new_path(spark, "fingerprint-edges")
-        after = F.lit(None).cast("int")
-        for a, b in follows.items():
-            after = F.when(F.col("block") == a, F.lit(b)).otherwise(after)
-        ends = walked.where("part = 2").select("doc_id", "text", after.alias("at"))
+        ends = walked.where("part = 2").select("doc_id", "text", "block").join(F.broadcast(follows), "block")  # a row a partition
         starts = walked.where("part = 1").select(F.col("block").alias("at"), F.col("text").alias("after"))
         ends.join(starts, "at").select("doc_id", "text", "after").mapInArrow(_joined, COLUMNS).write.parquet(done_path)
     finally:

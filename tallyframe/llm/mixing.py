@@ -1,7 +1,7 @@
 """Mixing sources to target weights: iterative proportional fitting, then calibrated sampling.
 
 Documents are summed to cells of source, language and topic, with their tokens
-as weight. Raking multiplies the cells' weights, one margin after another, so
+as weight; where no topic is given, a lexicon names one. Raking multiplies the cells' weights, one margin after another, so
 that each margin's totals meet their targets; that is repeated. A cell's ratio
 of fitted to present weight, times a common factor that meets the token budget,
 is the probability with which each of its documents is kept. It is cut at 1:
@@ -18,27 +18,33 @@ import warnings
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.shared import documents, stored, text_of
+from tallyframe.llm.shared import documents, spread_join, stored, text_of
 
 MARGINS = ("source", "lang", "topic")
 WORD = "[^\\x20\\x09-\\x0D]+"
-#: Cells are only broadcast to the documents up to this number.
-BROADCAST_CELLS = 20_000
+#: Up to this number of cells they are raked in one task; beyond it each margin of each round is a shuffle of cells.
+ONE_TASK = 1 << 20
 #: Documents draw one of so many numbers.
 DRAWS = 1 << 48
 #: Raking goes on after the given rounds, up to so many, while a margin's shares are further than this from their targets.
 TOLERANCE, MOST_ROUNDS = 1e-3, 99
 
 
+#: What tells a topic, first match first; the same patterns hold in Java's and in RE2's syntax.
+LEXICON = {
+    "rights": "[Ll]icen[sc]|[Cc]opyright|[Aa]ll rights reserved",
+    "credentials": "[Pp]assw(or)?d|[Ss]ecret|[Tt]oken|[Aa][Pp][Ii]_?[Kk]ey|AKIA[A-Z0-9]",
+    "contacts": "[A-Za-z0-9._]+@[A-Za-z0-9]|[0-9]{3}[ -][0-9]{3}",
+    "links": "https?://|www[.]",
+}
+
+
 def topic_of(text: Column) -> Column:
-    """A plain register in place of a topic: figures, notices (capitals), lists (short lines) or prose."""
-    size = F.greatest(F.length(text), F.lit(1))
-    lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
-    return (
-        F.when(20 * F.regexp_count(text, F.lit("[0-9]")) >= size, "figures")
-        .when(4 * F.regexp_count(text, F.lit("[A-Z]")) >= size, "notices")
-        .when(size < 120 * lines, "lists").otherwise("prose")
-    )
+    """The first topic of ``LEXICON`` that the text has an expression of, else "general"."""
+    found = F.lit("general")
+    for topic, pattern in reversed(LEXICON.items()):
+        found = F.when(text.rlike(pattern), topic).otherwise(found)
+    return found
 
 
 def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
@@ -55,11 +61,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int) -> DataFr
     for margin, target in targets.items():
         fitted = fitted.join(target.withColumnRenamed("target", f"to_{margin}"), margin, "left")
     fitted = stored(fitted, "mix-fitted")
+    few = fitted.count() <= ONE_TASK
     for k in range(rounds):
+        fitted = fitted.coalesce(1) if few else fitted  # in one partition no window shuffles
         for margin in targets:
             now = F.sum("fitted").over(Window.partitionBy(margin))
             fitted = fitted.withColumn("fitted", F.when(now > 0, F.col("fitted") * F.coalesce(F.col(f"to_{margin}"), F.lit(0.0)) / now).otherwise(F.col("fitted")))
-        if k % 3 == 2 or k == rounds - 1:
+        if k % (9 if few else 3) == 2 or k == rounds - 1:
             fitted = stored(fitted, "mix-fitted")
     return fitted.select(*MARGINS, "tokens", "fitted")
 
@@ -109,15 +117,15 @@ def probabilities(fitted: DataFrame, share: float | None) -> DataFrame:
     return cells.withColumn("probability", F.round(F.least(F.lit(1.0), F.col("ratio") * F.lit(factor)), 9))
 
 
-def mix(docs: DataFrame, share: float | None = 0.8, power: float = 0.7, rounds: int = 9, seed: int = 0, targets: dict[str, DataFrame] | None = None, topic: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, share: float | None = None, power: float = 0.9, rounds: int = 9, seed: int = 0, targets: dict[str, DataFrame] | None = None, topic: Column | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``topic``, ``weight``, ``probability`` and ``sampled``.
 
     ``targets`` gives for any margin a table of (value, target tokens); the others
     are tempered by ``power``. A value that a given margin leaves out
     gets no weight, so none of its documents is sampled.
-    ``weight`` is the cell's ratio of fitted to present tokens. With a given ``share``
-    probabilities may be cut at 1, and the sample's margins then miss their targets;
-    ``share=None`` keeps as much as meets them all. Null sources,
+    ``weight`` is the cell's ratio of fitted to present tokens. ``share=None`` keeps as
+    many tokens as meet all targets; with a given ``share`` probabilities may be cut
+    at 1, and the sample's margins then miss their targets. Null sources,
     languages and texts count as empty strings; a text without words weighs 0 tokens
     and is sampled like its cell. A document is drawn by the hash of its id (null:
     empty), so rows with one id are sampled alike. An empty table gives an empty
@@ -128,17 +136,18 @@ def mix(docs: DataFrame, share: float | None = 0.8, power: float = 0.7, rounds:
     whole = kept.withColumn("topic", F.coalesce(topic, F.lit("")) if topic is not None else topic_of(text))
     keyed = [F.coalesce(F.col(m), F.lit("")).alias(m) for m in MARGINS]
     counted = whole.select(*keyed, F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_tokens"))
-    cells = stored(counted.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
+    cells = stored(counted.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n")), "mix-cells")
     wanted = {}
     for margin in MARGINS:
         target = (targets or {}).get(margin)
         wanted[margin] = stored(tempered(cells, margin, power) if target is None else target.toDF(margin, "target"), "mix-target")
-    found = probabilities(rake_until_met(cells, wanted, rounds), share)
-    found = found.select(*[F.col(m).alias(f"mix_cell_{m}") for m in MARGINS], F.col("ratio").alias("weight"), "probability")
-    if found.count() <= BROADCAST_CELLS:
-        found = F.broadcast(found)
+    found = probabilities(rake_until_met(cells.drop("n"), wanted, rounds), share)
+    found = found.join(cells.select(*MARGINS, "n"), [*MARGINS])
+    found = found.select(*[F.col(m).alias(f"mix_cell_{m}") for m in MARGINS], F.col("ratio").alias("weight"), "probability", F.col("n").alias("mix_cell_n"))
+    found = stored(found, "mix-found")
+    total = cells.agg(F.sum("n")).first()[0] or 0
     draw = F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")), 1, 12), 16, 10).cast("long") / F.lit(float(DRAWS))
-    out = whole.join(found, [F.coalesce(F.col(m), F.lit("")) == F.col(f"mix_cell_{m}") for m in MARGINS], "left")
+    out = spread_join(whole.withColumns({f"mix_cell_{m}": k for m, k in zip(MARGINS, keyed)}), found, [f"mix_cell_{m}" for m in MARGINS], "mix_cell_n", total)
     out = out.withColumn("n_tokens", F.regexp_count(text, F.lit(WORD)).cast("long"))
     return out.select(*kept.columns, "n_tokens", "topic", "weight", "probability", (draw < F.col("probability")).alias("sampled"))
 
@@ -160,7 +169,7 @@ def op5_mixing(spark, sf_dir):
     return found.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 4).alias("weight"), F.round("probability", 4).alias("probability"), "sampled")
 
 
-def _op5_sql(rounds: int = 9, power: float = 0.7, share: float = 0.8) -> str:
+def _op5_sql(rounds: int = 9, power: float = 0.9) -> str:
     steps, last = [], "f0"
     for k in range(rounds):
         for m in MARGINS:
@@ -168,18 +177,14 @@ def _op5_sql(rounds: int = 9, power: float = 0.7, share: float = 0.8) -> str:
             steps.append(f"{name} AS MATERIALIZED (SELECT x.source, x.lang, x.topic, x.tokens, x.fitted * t.target / sum(x.fitted) OVER (PARTITION BY x.{m}) AS fitted FROM {last} x JOIN t_{m} t ON x.{m} = t.{m})")
             last = name
     goals = ", ".join(f"t_{m} AS (SELECT {m}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () * sum(sum(tokens)) OVER () AS target FROM cells GROUP BY {m})" for m in MARGINS)
+    topics = " ".join(f"WHEN regexp_matches(text, '{pattern}') THEN '{topic}'" for topic, pattern in LEXICON.items())
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source, lang FROM documents),
-w AS (SELECT doc_id, source, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_tokens,
-  CASE WHEN 20 * len(regexp_extract_all(text, '[0-9]')) >= greatest(length(text), 1) THEN 'figures' WHEN 4 * len(regexp_extract_all(text, '[A-Z]')) >= greatest(length(text), 1) THEN 'notices'
-    WHEN greatest(length(text), 1) < 120 * (length(text) - length(replace(text, chr(10), '')) + 1) THEN 'lists' ELSE 'prose' END AS topic FROM d),
+w AS (SELECT doc_id, source, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_tokens, CASE {topics} ELSE 'general' END AS topic FROM d),
 cells AS (SELECT coalesce(source, '') AS source, coalesce(lang, '') AS lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM w GROUP BY ALL),
 {goals}, f0 AS (SELECT *, tokens AS fitted FROM cells), {", ".join(steps)},
 r AS (SELECT *, CASE WHEN tokens > 0 THEN fitted / tokens ELSE 1 END AS ratio FROM {last}),
-o AS (SELECT *, {share} * sum(tokens) OVER () - coalesce(sum(tokens) OVER (ORDER BY ratio DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS budget,
-  sum(fitted) OVER (ORDER BY ratio DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest, row_number() OVER (ORDER BY ratio DESC, source, lang, topic) AS nth FROM r),
-k AS (SELECT coalesce(arg_min(budget / rest, nth) FILTER (WHERE rest > 0 AND budget / rest * ratio <= 1), 0) AS factor FROM o),
-p AS (SELECT r.*, round(least(1.0, ratio * factor), 9) AS probability FROM r, k)
+p AS (SELECT *, round(least(1.0, ratio / max(ratio) FILTER (WHERE tokens > 0) OVER ()), 9) AS probability FROM r)
 SELECT w.doc_id, w.source, w.lang, w.topic, w.n_tokens, round(p.ratio, 4) AS weight, round(p.probability, 4) AS probability,
   ('0x' || substr(md5(coalesce(w.doc_id::VARCHAR, '') || ':0'), 1, 12))::BIGINT / {float(DRAWS)} < p.probability AS sampled
 FROM w JOIN p ON coalesce(w.source, '') = p.source AND coalesce(w.lang, '') = p.lang AND w.topic = p.topic

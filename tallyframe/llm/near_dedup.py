@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.components import components
-from tallyframe.llm.shared import arrow_map, documents, stored, text_of, worker_table
+from tallyframe.llm.shared import arrow_map, documents, spread_join, stored, text_of, worker_table
 
 BANDS, ROWS, WORDS = 32, 4, 5
 #: Coordinates of a candidate's sketch, and how many bits of each it has.
@@ -162,15 +162,16 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), text_of(text_col).alias("text"))
     rows = arrow_map(texts, _profiles, "id long, n long, set_key binary, bands array<long>")
-    # what a join looks up is written first: then both its sides are plain exchanges, whose hot keys are split
-    classes = stored(rows.where("n > 0").groupBy("set_key").agg(F.min("id").alias("rep")), "near-classes")
-    members = rows.where("n > 0").join(classes, "set_key")
-    members = stored(members.select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "near-members")
+    # what a join looks up has counts, so that hot keys stay where they are
+    classes = stored(rows.where("n > 0").groupBy("set_key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")), "near-classes")
+    total = rows.count()
+    members = spread_join(rows.where("n > 0"), classes, ["set_key"], "size", total)
+    members = stored(members.select("id", "n", "rep", "size", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "near-members")
 
     banded = members.where("bands IS NOT NULL").select("id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("high")).where("pivot < high")
-    shared = stored(shared.select("key", "pivot"), "near-shared")
-    buckets = stored(banded.join(shared, "key"), "near-buckets")
+    shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("high"), F.count(F.lit(1)).alias("held")).where("pivot < high")
+    shared = stored(shared.select("key", "pivot", "held"), "near-shared")
+    buckets = stored(spread_join(banded, shared, ["key"], "held", BANDS * total).drop("held"), "near-buckets")
     sets = arrow_map(texts.join(buckets.select("id").distinct(), "id", "left_semi"), _sets, "id long, shingles array<long>, sketch array<long>")
     stars = buckets.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     stars = stored(similarities(stars, sets, percent), "near-stars")
@@ -198,7 +199,9 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
         singles = joined.join(labels, "component", "left_anti").select(F.col("component").alias("id"), F.col("least").alias("component"))
         labels = labels.join(joined, "component", "left").select("id", F.coalesce("least", "component").alias("component")).unionByName(singles)
 
-    found = members.select("id", "n", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
+    named = classes.select("rep", "size").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "size", F.coalesce("component", "rep").alias("component"))
+    named = named.groupBy("rep", "component").agg(F.sum("size").alias("size"))  # rows of one id may be of several classes
+    found = spread_join(members.select("id", "n", "rep"), named, ["rep"], "size", total).select("id", "n", "component")
     found = found.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component")))
     shown = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return found.select(shown("id").alias("doc_id"), F.col("n").alias("n_shingles"), shown("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))

@@ -37,7 +37,7 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
 
-        shape = _RUNS.sub(lambda m: "A" if m[1] else "a" if m[2] else "0", word)[:12]
+        shape = _RUNS.sub(lambda m: "A" if m[1] else "a" if m[2] else "0", word)
         plain = word.lower().strip(_MARKS)
         self[word] = value = xxhash.xxh32_intdigest(plain.encode("utf-8", "surrogatepass")) << 32 | xxhash.xxh32_intdigest(shape.encode("utf-8", "surrogatepass"))
         return value
@@ -120,14 +120,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     """Weights from a bounded sample of the labelled rows: those whose hashed ids are least.
 
     Rows whose crc32 of the id, as text, leaves 2 when divided by 4 are held out.
-    Null ids, labels and texts are not learned from. Without any labels all
-    weights are 0 and every score 0.5.
+    Null ids, labels and texts are not learned from, nor are ids whose labels
+    disagree. Without any labels all weights are 0 and every score 0.5.
     """
     import numpy as np
 
     importable(docs.sparkSession)
     chosen = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    chosen = chosen.where("doc_id IS NOT NULL AND label IN (0, 1) AND crc32(cast(doc_id AS string)) % 4 <> 2").dropDuplicates(["doc_id"])
+    chosen = chosen.where("doc_id IS NOT NULL AND label IN (0, 1) AND crc32(cast(doc_id AS string)) % 4 <> 2")
+    chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     chosen = chosen.withColumn("place", F.xxhash64("doc_id")).orderBy("place").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = texts.join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod("place", F.lit(SHARDS)))

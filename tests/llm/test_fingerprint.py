@@ -65,3 +65,16 @@ def test_small_tables(spark):
     assert f.fingerprints(one.limit(0)).count() == 0
     twice = f.fingerprints(one.union(one)).collect()
     assert len(twice) == 2 and twice[0].near_next == 1.0
+
+
+def test_thousands_of_partitions(spark):
+    rows = [(i, f"text number {i} " + "with some words " * (i % 9)) for i in range(2500)]
+    docs, key = spark.createDataFrame(rows, "doc_id long, text string").coalesce(4), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    few = {r.doc_id: r for r in f.fingerprints(docs).collect()}
+    spark.conf.set(key, "2000")
+    try:
+        many = {r.doc_id: r for r in f.fingerprints(docs).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert many == few and len(many) == 2500

@@ -70,6 +70,21 @@ def test_without_a_share_the_sample_has_its_target_weights(spark):
     assert all(r.sampled == pytest.approx(r.target, abs=0.05) for r in rows.values()) and max(r.probability for r in mix(docs, share=None).collect()) == 1
 
 
+def test_cells_beyond_one_task_and_rare_cells_give_the_same(spark, monkeypatch):
+    docs = table(spark).withColumn("source", F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("rare"), "doc_id")).otherwise("most"))
+    rows = lambda: {(r.doc_id, r.topic, round(r.weight, 9), round(r.probability, 6)) for r in mix(docs, rounds=4).collect()}
+    want = rows()
+    monkeypatch.setattr(mixing, "ONE_TASK", 0)
+    monkeypatch.setattr("tallyframe.llm.shared.HOT", 4)
+    assert rows() == want and len(want) == 3000
+
+
+def test_the_lexicon_names_topics(spark):
+    texts = {"plain words 12 34": "general", "© All rights reserved": "rights", 'x token = "abc"': "credentials", "a.b@c.de": "contacts", "see www.x.org": "links", "Licensed, secret": "rights", "": "general"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"source": F.lit("s"), "lang": F.lit("en")})
+    assert {r.text: r.topic for r in mix(docs).collect()} == texts
+
+
 def test_raking_goes_on_until_its_margins_are_met_and_warns_where_they_cannot_be(spark, monkeypatch):
     cells = spark.createDataFrame([("a", "x", "p", 1), ("b", "x", "p", 1000), ("b", "y", "p", 10)], "source string, lang string, topic string, tokens long")
     goals = {"source": {"a": 100.0, "b": 100.0}, "lang": {"x": 110.0, "y": 90.0}}

@@ -61,6 +61,18 @@ def test_held_out_accuracy_edge_rows_and_only_allowed_labels(spark):
     assert all(again[i] == by[i].score for i, _, _ in rows)
 
 
+def test_ids_whose_labels_disagree_teach_nothing_and_long_words_count_whole(spark):
+    rows = corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = [(i, y) for i, _, y in rows]
+    torn = [(i, 1 - y) for i, y in labels if i % 5 == 0]
+    make = lambda x: spark.createDataFrame(x, "doc_id long, quality int")
+    assert np.array_equal(q.train(docs, make(labels + torn)), q.train(docs, make([x for x in labels if x[0] % 5])))
+    assert np.array_equal(q.train(docs, make(labels + labels)), q.train(docs, make(labels)))
+    same = "aB1" * 10
+    assert [x.tolist() for x in q.families(same + "!?")][2] != [x.tolist() for x in q.families(same + "?!")][2]
+
+
 def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
