@@ -19,6 +19,8 @@ from tallyframe.llm.shared import documents, stored, text_of
 
 #: Ids that several texts have are only broadcast up to this number.
 BROADCAST_IDS = 20_000
+#: The lines stage deletes later copies of runs of this many words: passages, not single lines that many documents share.
+PASSAGE_WORDS = 50
 #: Ids from here on are given to rows that have none of their own.
 OWN_IDS = 1 << 62
 
@@ -34,8 +36,8 @@ def _beside(docs: DataFrame, *needed: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of repeated line runs; documents of which nothing is left go."""
-    found, changed = line_dedup(_beside(docs, "doc_id", "text")), F.col("n_removed") > 0
+    """Texts without later copies of repeated line runs of ``PASSAGE_WORDS`` words; documents of which nothing is left go."""
+    found, changed = line_dedup(_beside(docs, "doc_id", "text"), PASSAGE_WORDS), F.col("n_removed") > 0
     emptied = changed & ~F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")
     new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
     old = {c: F.col(f"whole_row.`{c}`") for c in docs.columns}
@@ -60,7 +62,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of 0.8 of the tokens, drawn towards the target weights of sources, languages and registers; small values miss theirs (README)."""
+    """The largest sample that has the target weights of sources, languages and topics."""
     return mix(_beside(docs, "doc_id", "text", "source", "lang")).where("sampled").select("whole_row.*")
 
 
