@@ -119,7 +119,9 @@ def is_pdf(content: Column | str, least: int = 800) -> Column:
 
 def is_json(content: Column | str, least: int = 2) -> Column:
     c = col(content).cast("string")
-    return F.coalesce((F.octet_length(c) >= least) & F.try_parse_json(c).isNotNull(), F.lit(False))
+    # the parser stops after one value, so what follows it only shows inside brackets and braces
+    whole = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}"))).isNotNull()
+    return F.coalesce((F.octet_length(c) >= least) & whole, F.lit(False))
 
 
 def copy_filter(values: str, column: str, width: int | None = None) -> Column:

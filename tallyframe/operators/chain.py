@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 GENESIS = "GENESIS"
 
@@ -13,16 +14,35 @@ def link(previous: Column, content: Column, time: Column) -> Column:
 
 
 def build(entries: DataFrame, chain: list[str], seq: str = "seq") -> DataFrame:
-    """``entries(seq, ts, sha_contenido)`` with their links. A chain is sequential, so each is folded in one task; chains run side by side."""
-    start = F.struct(F.lit(GENESIS).alias("last"), F.array().cast("array<struct<seq:long,eslabon:string,eslabon_anterior:string>>").alias("done"))
-
-    def step(acc, e):
-        made = link(acc["last"], e["sha_contenido"], e["ts"])
-        return F.struct(made.alias("last"), F.concat(acc["done"], F.array(F.struct(e["seq"].cast("long").alias("seq"), made.alias("eslabon"), acc["last"].alias("eslabon_anterior")))).alias("done"))
-
-    listed = entries.groupBy(*chain).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), "ts", "sha_contenido"))).alias("e"))
-    links = listed.select(*chain, F.explode(F.aggregate("e", start, step)["done"]).alias("l"))
-    return entries.join(links.select(*chain, F.col("l.seq").alias(seq), "l.eslabon", "l.eslabon_anterior"), [*chain, seq])
+    """``entries(seq, ts, sha_contenido)`` with ``eslabon`` and ``eslabon_anterior``.
+
+    A chain is sequential: it is sorted into one partition and folded there, row after
+    row, with only the last link held; chains run side by side. After a null content
+    or time the chain's links are null.
+    """
+    ordered = entries.repartition(*chain).sortWithinPartitions(*chain, seq)
+    schema = StructType([*entries.schema.fields, StructField("eslabon", StringType()), StructField("eslabon_anterior", StringType())])
+    genesis = GENESIS
+
+    def fold(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        at, last = None, genesis
+        for batch in batches:
+            made, before = [], []
+            columns = [batch.column(c).to_pylist() for c in (*chain, "sha_contenido", "ts")]
+            for *key, content, time in zip(*columns):
+                if key != at:
+                    at, last = key, genesis
+                before.append(last)
+                last = None if None in (last, content, time) else hashlib.sha256(f"{last}{content}{time}".encode()).hexdigest()
+                made.append(last)
+            arrays = [*batch.columns, pa.array(made, pa.string()), pa.array(before, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return ordered.mapInArrow(fold, schema)
 
 
 def verify(links: DataFrame, chain: list[str], seq: str = "seq") -> DataFrame:

@@ -81,7 +81,7 @@ def census(spark, sf_dir):
 
 
 VOTES = """votes AS (SELECT n.n_regionkey AS dep, n.n_nationkey AS muni, c.c_custkey AS mesa, count(*) AS votos FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY ALL),
-census AS (SELECT n.n_regionkey AS dep, n.n_nationkey AS muni, count(*) * 10 AS total, count(*) AS mesas FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE n.n_nationkey % 9 <> 4 GROUP BY ALL),
+census AS (SELECT n.n_regionkey AS dep, n.n_nationkey AS muni, count(*) * 10 AS total, count(*) AS mesas FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY ALL),
 places AS (SELECT v.*, c.total AS habilitados FROM (SELECT dep, muni, sum(votos)::BIGINT AS votos, count(*) AS mesas FROM votes GROUP BY ALL) v LEFT JOIN census c ON v.dep = c.dep AND v.muni = c.muni),
 flagged AS (SELECT *, round_even(CASE WHEN habilitados IS NULL THEN NULL WHEN habilitados = 0 THEN 0 ELSE votos / habilitados END, 4) AS participacion,
   CASE WHEN habilitados IS NULL THEN 'SIN_CENSO' WHEN votos > habilitados THEN 'EXCEDE' WHEN votos / habilitados >= 0.95 THEN 'ALTO' ELSE '' END AS bandera FROM places)"""

@@ -9,6 +9,7 @@ from tallyframe.functions import checks, keys
 from tallyframe.operators import census, chain, compare, decode, layout, sheets, snapshots
 from tallyframe.plans import bindings as b
 from tallyframe.plans.bindings import table
+from tallyframe.sources import manifest, readings
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -140,10 +141,16 @@ def url_build(spark, d):
     return p.select("p_partkey", keys.record_url("https://h/").alias("url"), keys.record_path("out").alias("path"))
 
 
-@query("SELECT doc_id, octet_length(encode(text)) >= 800 AND text LIKE 'T%' AS valido, sha256(text) AS sha FROM documents")
+@query("SELECT doc_id, octet_length(encode(text)) + 5 >= 800 AND lang = 'en' AS valido, sha256(CASE WHEN lang = 'en' THEN '%PDF-' ELSE '<html' END || text) AS sha FROM documents")
 def content_valid(spark, d):
-    c = F.col("text").cast("binary")
-    return table(spark, d, "documents").select("doc_id", ((F.length(c) >= 800) & F.col("text").startswith("T")).alias("valido"), F.sha2(c, 256).alias("sha"))
+    fetched = F.concat(F.when(F.col("lang") == "en", "%PDF-").otherwise("<html"), "text").cast("binary")  # English texts stand for pages that are PDFs, others for error pages
+    return table(spark, d, "documents").select("doc_id", keys.is_pdf(fetched).alias("valido"), F.sha2(fetched, 256).alias("sha"))
+
+
+@query("SELECT event_id, json_valid(CASE WHEN event_type = 'error' THEN substr(props, 2) ELSE props END) AS valido FROM events")
+def json_valid(spark, d):
+    fetched = F.when(F.col("event_type") == "error", F.expr("substring(props, 2)")).otherwise(F.col("props"))  # answers of failed requests are cut off
+    return table(spark, d, "events").select("event_id", keys.is_json(fetched).alias("valido"))
 
 
 # copies
@@ -203,7 +210,7 @@ def census_summary(spark, d):
     return census.summary(b.census(spark, d))
 
 
-@query(f"WITH {b.VOTES}, few AS (SELECT DISTINCT dep, muni FROM votes WHERE mesa % 60 = 1) SELECT c.* FROM census c ANTI JOIN few s ON c.dep = s.dep AND c.muni = s.muni")
+@query(f"WITH {b.VOTES}, placed AS (SELECT DISTINCT dep, muni FROM votes) SELECT c.* FROM census c ANTI JOIN placed s ON c.dep = s.dep AND c.muni = s.muni")
 def places_without_votes(spark, d):
     return census.without_votes(b.votes(spark, d), b.census(spark, d), ["dep", "muni"])
 
@@ -314,13 +321,15 @@ def chain_verify(spark, d):
 # manifest
 
 
-@query("SELECT s.s_suppkey, lpad(n.n_regionkey::VARCHAR, 2, '0') AS dep, lpad(s.s_nationkey::VARCHAR, 3, '0') AS muni, r.r_name AS departamento, CASE WHEN s.s_nationkey % 5 = 0 THEN '' ELSE n.n_name END AS municipio FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey")
+@query("""SELECT s.s_suppkey, lpad(n.n_regionkey::VARCHAR, 2, '0') AS dep, lpad(s.s_nationkey::VARCHAR, 3, '0') AS muni, CASE WHEN c.n > 0 THEN r.r_name ELSE '' END AS departamento, CASE WHEN c.n > 0 THEN n.n_name ELSE '' END AS municipio
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1) c ON c.c_nationkey = s.s_nationkey""")
 def geo_enrichment(spark, d):
-    s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
-    tree = n.where("n_nationkey % 5 <> 0").select(keys.pad_code("n_nationkey", 3).alias("muni"), F.col("n_name").alias("municipio"))
-    region = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(F.col("n_nationkey").alias("s_nationkey"), keys.pad_code("n_regionkey", 2).alias("dep"), F.col("r_name").alias("departamento"))
-    rows = s.join(F.broadcast(region), "s_nationkey").withColumn("muni", keys.pad_code("s_nationkey", 3))  # the tree has 25 rows
-    return rows.join(F.broadcast(tree), "muni", "left").select("s_suppkey", "dep", "muni", "departamento", F.coalesce("municipio", F.lit("")).alias("municipio"))
+    s, n, r, c = (table(spark, d, t) for t in ("supplier", "nation", "region", "customer"))
+    place = [keys.pad_code("n_regionkey", 2).alias("dep"), keys.pad_code("n_nationkey", 3).alias("muni"), F.lit("000").alias("zona"), F.lit("00").alias("puesto")]
+    known = n.join(c.where("c_mktsegment = 'BUILDING'"), F.col("n_nationkey") == F.col("c_nationkey"), "left_semi").join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))  # 5 regions
+    tree = known.select(*place, F.col("r_name").alias("departamento"), F.col("n_name").alias("municipio"), F.lit("").alias("nombre_zona"), F.lit("").alias("nombre_puesto"))
+    rows = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", *place)  # 25 nations
+    return manifest.enrich(rows, tree).select("s_suppkey", "dep", "muni", "departamento", "municipio")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_custkey % 100 IN (1, 7) ORDER BY o_orderkey LIMIT 50")
@@ -332,7 +341,7 @@ def record_filter_limit(spark, d):
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def resume_anti_join(spark, d):
     done = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, d, "orders").select("o_orderkey").join(done, "o_orderkey", "left_anti")
+    return readings.pending(table(spark, d, "orders").select("o_orderkey"), done, "o_orderkey")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')")

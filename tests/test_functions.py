@@ -40,6 +40,7 @@ def test_content(spark):
     df = spark.createDataFrame([(good,), (good[:700],), (b"x" * 900,), (None,)], "c binary")
     assert [r[0] for r in df.select(keys.is_pdf("c")).collect()] == [True, False, False, False]
     assert one(spark, keys.is_json("v"), '{"a": 1}', "{", None) == [True, False, False]
+    assert one(spark, keys.is_json("v"), '"k": 1}', '1], [2', '1}, {"y":2', ' [1, "é"] ', "{} x") == [False, False, False, True, False]
 
 
 SHEET = [69, 0, 3, 42, 0, 0, 0, 0, 0, 0, 7, 3, 0]
