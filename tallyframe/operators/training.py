@@ -52,7 +52,7 @@ def evaluate(now: DataFrame, before: DataFrame, keys: list[str], level: str = "a
     gained = newly_reconciled(now, before, keys, level).select(F.lit("NUEVAS").alias("medida")).groupBy("medida").agg(F.count(F.lit(1)).alias("n"))
     total = now.agg(F.count(F.lit(1)).alias("_all"))
     rows = levels.unionByName(base).unionByName(gained).join(F.broadcast(total))  # one row
-    return rows.select("medida", "n", F.round(100.0 * F.col("n") / F.col("_all"), 1).alias("pct"))
+    return rows.select("medida", "n", F.round(F.try_divide(100.0 * F.col("n"), F.col("_all")), 1).alias("pct"))
 
 
 def versioned(spark, path: str) -> int:
