@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.schema import SECOND_ROUND, SECOND_ROUND_X
+from tallyframe.schema import FIRST_ROUND_AGGREGATES, FIRST_ROUND_MARGIN, FIRST_ROUND_X, SECOND_ROUND, SECOND_ROUND_X
 
 
 def match_template(detected: DataFrame, template: DataFrame, sheet: str = "pdf", tolerance: float = 0.04) -> DataFrame:
@@ -50,6 +50,17 @@ def fell_back(sheets: DataFrame, least: float = 1.0) -> DataFrame:
     return found.withColumn("total_vacio", F.coalesce(F.col("tinta_SUMA_TOTAL") < least, F.lit(True)))
 
 
+def fallback_aggregates(pages: DataFrame) -> DataFrame:
+    """The first form's four aggregate boxes ``x, y, w, h`` from the template alone, for ``pages(pdf, ancho, alto)`` whose lines weren't found."""
+    cut = lambda e: F.floor(e).cast("int")
+    left, right = FIRST_ROUND_X
+    rel = F.array(*[F.struct(F.lit(n).alias("etiqueta"), F.lit(a).alias("y0"), F.lit(b - a).alias("dy")) for n, a, b in FIRST_ROUND_AGGREGATES])
+    rows = pages.select("pdf", "ancho", "alto", F.explode(rel).alias("r")).select("pdf", "ancho", "r.etiqueta", cut(F.col("alto") * F.col("r.y0")).alias("top"), cut(F.col("alto") * F.col("r.dy")).alias("full"))
+    x = cut(F.col("ancho") * left) + cut(F.col("ancho") * 0.015)
+    inset = cut(F.col("full") * 0.08)
+    return rows.select("pdf", "etiqueta", x.alias("x"), (F.col("top") + inset).alias("y"), (cut(F.col("ancho") * right) - cut(F.col("ancho") * FIRST_ROUND_MARGIN) - x).alias("w"), (F.col("full") - 2 * inset).alias("h"))
+
+
 def second_round_boxes(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """The second round's nine boxes, in pixels, of ``pages(pdf, ancho, alto)``: geometry only, in generated code."""
     left, right = SECOND_ROUND_X

@@ -22,6 +22,10 @@ SECOND_ROUND = [
     ("SUMA_TOTAL", 0.820, 0.032),
 ]
 SECOND_ROUND_X = (0.720, 0.975)
+# The aggregates of the first form as (label, top, bottom) relative to the page; the column's left and right, and the margin at its right.
+FIRST_ROUND_AGGREGATES = [("BLANCO", 0.768, 0.798), ("NULO", 0.798, 0.823), ("NO_MARCADO", 0.823, 0.847), ("SUMA_TOTAL", 0.847, 0.877)]
+FIRST_ROUND_X = (0.66, 0.985)
+FIRST_ROUND_MARGIN = 0.04
 PLACE = ["dep", "muni", "zona", "puesto"]
 TABLE = [*PLACE, "mesa"]
 #: Digits to which each code is padded.

@@ -71,11 +71,12 @@ def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     return keep_first(found, ["dep", "muni", "zona", "puesto", "mesa", "expected_name"], "ord")
 
 
-def index(found: DataFrame) -> DataFrame:
-    """``file, key, name, status``, the last of each key: the transmission id, or else the raw place."""
+def index(found: DataFrame, places: bool = False) -> DataFrame:
+    """``file, key, name, status``, the last of each key: the transmission id, or else the raw place; with ``places`` its unpadded codes too."""
     raw = lambda c: F.coalesce(F.col("node")[FIELDS[c]], F.lit(""))
     key = F.when(raw("id") != "", raw("id")).otherwise(F.concat_ws("|", *[raw(c) for c in ("dep", "muni", "zona", "puesto", "mesa")]))
-    rows = found.select("file", "ord", key.alias("key"), raw("expected_name").alias("name"), raw("status").alias("status"))
+    codes = [raw(c).alias(c) for c in ("dep", "muni", "zona", "puesto", "mesa")] if places else []
+    rows = found.select("file", "ord", key.alias("key"), raw("expected_name").alias("name"), raw("status").alias("status"), *codes)
     return keep_last(rows, ["file", "key"], "ord").drop("ord")
 
 
@@ -138,8 +139,18 @@ def third_copy_tasks(files: DataFrame, base: str, digitised_only: bool = True) -
     return rows.select(F.concat(F.lit(base.rstrip("/") + "/"), bare).alias("url"), third_copy_codes("nombre_archivo").alias("k"), F.trim("numero").alias("mesa"), "nombre_archivo", "digitalizado", "escrutado").select("url", "k.*", "mesa", "nombre_archivo", "digitalizado", "escrutado")
 
 
+#: A JSON string and, if it is a key, the colon behind it.
+QUOTED = '"(?:[^"\\\\]|\\\\.)*"(?:\\s*:)?'
+
+
 def inspect(files: DataFrame, most: int = 20) -> DataFrame:
-    """Strings of a JSON document that name a PDF or a sheet, up to ``most`` a file: a look at an unknown index."""
-    found = files.select("file", F.explode(F.regexp_extract_all("text", F.lit('"([^"]*(?:\\.pdf|E14)[^"]*)"'), F.lit(1))).alias("texto"))
-    listed = found.groupBy("file").agg(F.slice(F.array_sort(F.collect_set("texto")), 1, most).alias("textos"))
-    return listed
+    """A look at unknown JSON: ``file, raiz, claves, n, textos``.
+
+    The root's kind, the first keys of an object or the length of an array, and up to
+    ``most`` string values, at any depth and in document order, that name a PDF or a sheet.
+    """
+    first = F.substring(F.ltrim("text"), 1, 1)
+    kind = F.when(first == "{", "object").when(first == "[", "array").otherwise("value")
+    found = F.filter(F.regexp_extract_all("text", F.lit(QUOTED), F.lit(0)), lambda x: ~x.endswith(":") & (F.lower(x).contains(".pdf") | x.contains("E14")))
+    texts = F.from_json(F.concat(F.lit("["), F.array_join(F.slice(found, 1, most), ","), F.lit("]")), "array<string>")
+    return files.select("file", kind.alias("raiz"), F.slice(F.json_object_keys("text"), 1, 30).alias("claves"), F.json_array_length("text").alias("n"), texts.alias("textos"))

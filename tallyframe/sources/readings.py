@@ -54,11 +54,89 @@ def votes(df: DataFrame, label: str = "TOTAL_E11", copy: str | None = None) -> D
     return keep_last(rows, TABLE, "ord").drop("ord")
 
 
-def census(df: DataFrame) -> DataFrame:
+def census(df: DataFrame, *kept: str) -> DataFrame:
     """Census rows with normalised place keys and an integer total."""
     rest = [c for c in ("departamento", "municipio", "nombre_puesto", "direccion") if c in df.columns]
     counts = [parse_int(c).alias(c) for c in ("mujeres", "hombres", "total", "mesas") if c in df.columns]
-    return df.select(*[normalize_key(c).alias(c) for c in PLACE], *counts, *rest).where("total IS NOT NULL")
+    return df.select(*[normalize_key(c).alias(c) for c in PLACE], *counts, *rest, *kept).where("total IS NOT NULL")
+
+
+def _xlsx_rows(content: bytes) -> list[list[str | None]]:
+    """Cells of a workbook's active sheet, as text, by row and column."""
+    import io
+    import re
+    import zipfile
+    from xml.etree import ElementTree
+
+    book = zipfile.ZipFile(io.BytesIO(content))
+    read = lambda name: ElementTree.fromstring(book.read(name))
+    words = lambda e: "".join(t.text or "" for t in e.iterfind(".//{*}t"))
+    shared = [words(e) for e in read("xl/sharedStrings.xml").iterfind("{*}si")] if "xl/sharedStrings.xml" in book.namelist() else []
+    top = read("xl/workbook.xml")
+    view, sheets = top.find(".//{*}workbookView"), top.findall(".//{*}sheet")
+    sheet = sheets[int(view.get("activeTab", 0)) if view is not None else 0]
+    part = next(v for k, v in sheet.attrib.items() if k.endswith("}id"))
+    target = next(r.get("Target") for r in read("xl/_rels/workbook.xml.rels") if r.get("Id") == part)
+    out = []
+    for row in read(target.lstrip("/") if target.startswith("/") else f"xl/{target}").iterfind(".//{*}row"):
+        cells: list[str | None] = []
+        for c in row.iterfind("{*}c"):
+            place = 0
+            for letter in re.match("[A-Z]*", c.get("r", ""))[0]:
+                place = place * 26 + ord(letter) - 64
+            cells += [None] * ((place or len(cells) + 1) - len(cells))
+            value = c.findtext("{*}v")
+            cells[(place or len(cells)) - 1] = words(c) if c.get("t") == "inlineStr" else shared[int(value)] if c.get("t") == "s" and value is not None else value
+        out.append(cells)
+    return out
+
+
+# The columns of the census sheet, by position.
+CENSUS_SHEET = ("dep", "muni", "zona", "puesto", "departamento", "municipio", "nombre_puesto", "mujeres", "hombres", "total", "mesas", "", "direccion")
+
+
+def census_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The census as published, XLSX or CSV: below the row that starts with ``dd`` and has a ``pp``; without place rows that aren't numbers.
+
+    A workbook is one file of a country's places and is read in one task. Without a header there are no rows.
+    """
+    if path.lower().endswith(".xlsx"):
+
+        def cells(batches):
+            import pandas as pd
+
+            for pdf in batches:
+                for content in pdf["content"]:
+                    rows = _xlsx_rows(bytes(content))
+                    yield pd.DataFrame({"ord": range(len(rows)), "c": rows})
+
+        found = spark.read.format("binaryFile").load(path).select("content").mapInPandas(cells, "ord long, c array<string>")
+    else:
+        kind = ", ".join(f"c{k} string" for k in range(len(CENSUS_SHEET)))
+        found = spark.read.schema(kind).csv(path).select(F.monotonically_increasing_id().alias("ord"), F.array(*[f"c{k}" for k in range(len(CENSUS_SHEET))]).alias("c"))
+    found = found.withColumn("c", F.transform("c", F.trim))
+    header = found.where((F.get("c", F.lit(0)) == "dd") & F.array_contains("c", "pp")).agg(F.min("ord").alias("_header"))
+    rows = found.join(F.broadcast(header)).where((F.col("ord") > F.col("_header")) & F.get("c", F.lit(0)).rlike("^[0-9]+$") & F.get("c", F.lit(3)).isNotNull())
+    named = rows.select("ord", *[F.get("c", F.lit(k)).alias(n) for k, n in enumerate(CENSUS_SHEET) if n])
+    return keep_last(census(named, "ord"), PLACE, "ord").drop("ord")
+
+
+def reconciliation(spark: SparkSession, path: str) -> DataFrame:
+    """The state of each table by its codes as they are written; the last row of a table counts."""
+    rows = csv(spark, path)
+    raw = [(F.coalesce(F.col(c), F.lit("")) if c in rows.columns else F.lit("")).alias(c) for c in (*TABLE, "estado")]
+    return keep_last(rows.select("ord", *raw), TABLE, "ord").drop("ord")
+
+
+def union_copies(copies: dict[str, DataFrame]) -> DataFrame:
+    """Readings of at least two copies as one long table, each under its name in upper case."""
+    if len(copies) < 2:
+        raise ValueError("comparing needs at least two copies")
+    parts = [readings(df, name.strip().upper()) for name, df in copies.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def chain_log(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,28 @@ def write_csv(df: DataFrame, path: str, columns: list[str], append: bool = False
     df.select(*flat).write.mode("append" if append else "overwrite").csv(path, header=True)
 
 
+# The columns of the table of addresses.
+URL_COLUMNS = [
+    "url", "local_path", "id_transmission_code", "transmission_status", "corporation_code", "department_code", "department_name", "municipality_code",
+    "municipality_name", "zone_code", "zone_name", "stand_code", "stand_name", "number_table", "expected_name",
+]
+
+
+def url_table(records: DataFrame, tree: DataFrame, url: Column, local: Column) -> DataFrame:
+    """One row a record with its address, its local path and the names of its place; blank where a name is missing."""
+    from tallyframe.sources.manifest import enrich
+
+    sources = [url, local, *map(F.col, ["id", "status", "corporacion", "dep", "departamento", "muni", "municipio", "zona", "nombre_zona", "puesto", "nombre_puesto", "mesa", "expected_name"])]
+    return enrich(records, tree).select(*[F.coalesce(c.cast("string"), F.lit("")).alias(n) for c, n in zip(sources, URL_COLUMNS, strict=True)])
+
+
+def write_diff(found: DataFrame, path: str) -> None:
+    """Differences of two snapshots, removals first, then changed hashes, changed states and additions, each by key."""
+    blocks = F.array(*map(F.lit, ("eliminada", "hash_cambiado", "estado_cambiado", "anadida")))
+    rows = found.select("tipo", F.col("key").alias("clave"), "antes", "ahora").orderBy(F.array_position(blocks, F.col("tipo")), "clave")
+    write_csv(rows, path, ["tipo", "clave", "antes", "ahora"])
+
+
 def write_results(df: DataFrame, path: str, errors: str, status: str = "status") -> None:
     """All results as JSON lines, and those in error once more."""
     df.write.mode("overwrite").json(path)

@@ -8,6 +8,9 @@ replaces what it wrote. Restarting goes on from the stream's checkpoint.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +80,21 @@ class Monitor:
         return rows.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.state}/checkpoint").trigger(**trigger).start()
 
 
+def run_cycles(monitor: Monitor, folder: str, cycles: int, interval: float = 300.0, fetch: Callable[[], object] | None = None) -> list[str]:
+    """A given number of cycles: ``fetch`` adds to the folder, the monitor takes what is there; errors of fetching end no cycle and are returned."""
+    errors = []
+    for cycle in range(cycles):
+        try:
+            if fetch is not None:
+                fetch()
+        except (OSError, ValueError) as e:
+            errors.append(f"{cycle}: {e}")
+        monitor.start(folder).awaitTermination()
+        if cycle < cycles - 1:
+            time.sleep(interval)
+    return errors
+
+
 def changes_by_key(rows: DataFrame) -> DataFrame:
     """A stream of ``key, snap_ts, name, status`` to its changes, with the last name and status of each key as state."""
 
