@@ -9,7 +9,7 @@ from tallyframe.operators import boxes, sheets, snapshots
 from tallyframe.schema import FIRST_ROUND_AGGREGATES
 from tallyframe.sources import manifest, readings, sinks
 from tallyframe.streaming.monitor import Monitor, run_cycles
-from tests.test_sources import node, snapshot
+from test_sources import node, snapshot
 
 HEADER = ["dd", "mm", "zz", "pp", "departamento", "municipio", "puesto", "mujeres", "hombres", "total", "mesas", "", "direccion"]
 ROWS = [
