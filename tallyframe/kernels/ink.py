@@ -151,8 +151,8 @@ def right_border(grey: np.ndarray, block: float = 0.7, row: float = 0.8, reach:
     return k if dark[k] > row else at
 
 
-def inner_crop(grey: np.ndarray, band: float = 0.10, line: float = 0.88, margin: int = 4) -> np.ndarray:
-    """A crop without the frame lines that stand in its outer band; never less than its middle third."""
+def inner_box(grey: np.ndarray, band: float = 0.10, line: float = 0.88, margin: int = 4) -> tuple[int, int, int, int]:
+    """(top, bottom, left, right) of a crop without the frame lines that stand in its outer band; never less than its middle third."""
     h, w = grey.shape
     dark = grey < 128
 
@@ -164,7 +164,11 @@ def inner_crop(grey: np.ndarray, band: float = 0.10, line: float = 0.88, margin:
         b = n - edge + int(high[0]) - margin if len(high) else n
         return min(a, n // 3), max(b, n - n // 3)
 
-    (y0, y1), (x0, x1) = limits(dark.mean(1), h), limits(dark.mean(0), w)
+    return *limits(dark.mean(1), h), *limits(dark.mean(0), w)
+
+
+def inner_crop(grey: np.ndarray, band: float = 0.10, line: float = 0.88, margin: int = 4) -> np.ndarray:
+    y0, y1, x0, x1 = inner_box(grey, band, line, margin)
     return grey[y0:y1, x0:x1]
 
 

@@ -188,3 +188,29 @@ ink2 AS (SELECT mesa, n AS n_candidatos, (NOT s AND n > 0)::INT AS suma_vacia_co
 flags AS (SELECT *, suma_vacia_con_votos + sin_ningun_voto + suma_con_todo_vacio + todos_candidatos_llenos + agregados_sin_suma + e11_vacio_con_votos AS n_banderas,
   CASE WHEN suma_vacia_con_votos + sin_ningun_voto + suma_con_todo_vacio > 0 THEN 'ALTA' WHEN todos_candidatos_llenos + agregados_sin_suma + e11_vacio_con_votos > 0 THEN 'MEDIA' ELSE 'OK' END AS prioridad FROM ink2)"""
 )
+
+
+def _grey(high, wide, rows):
+    """Grey bytes of an image that is white but for the hex of some ``rows`` (how many, their hex), given from top to bottom with the white ones between."""
+    white = F.repeat(F.lit("FF"), F.lit(wide))
+    parts = [F.repeat(white if line is None else line, n if not isinstance(n, int) else F.lit(n)) for n, line in rows]
+    return F.unhex(F.concat(*parts))
+
+
+def _line(left, dark, wide):
+    return F.concat(F.repeat(F.lit("FF"), F.lit(left)), F.repeat(F.lit("00"), dark), F.repeat(F.lit("FF"), F.lit(wide - left) - dark))
+
+
+def crops(spark, sf_dir):
+    """Crops of 20 x 24 pixels with one dark rectangle, by a part's size (its rows, 0 to 8) and key (its columns, 1 to 10)."""
+    high, wide = (F.col("p_size") % 9).cast("int"), (F.col("p_partkey") % 10 + 1).cast("int")
+    return table(spark, sf_dir, "part").select("p_partkey", F.lit(20).alias("alto"), _grey(20, 24, [(5, None), (high, _line(5, wide, 24)), (F.lit(15) - high, None)]).alias("pixeles"))
+
+
+def pages(spark, sf_dir):
+    """A supplier's sheet of one to three pages of 400 x 300 pixels; every fifth has a page without pixels. The first has up to three dark lines in the third candidate's box."""
+    k, dark = F.col("s_suppkey"), (F.col("s_suppkey") % 4).cast("int")
+    first = _grey(400, 300, [(225, None), (dark, _line(220, F.lit(30), 300)), (F.lit(175) - dark, None)])
+    white = _grey(400, 300, [(400, None)])
+    rows = table(spark, sf_dir, "supplier").select(k, F.concat(F.lit("r/D/01/002/003/04/"), k.cast("string"), F.lit("/a.pdf")).alias("pdf"), F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(3), (k % 5).cast("int"))))).alias("pagina"))
+    return rows.select("pdf", "pagina", F.lit(400).alias("alto"), F.when(k % 5 == 0, None).when(F.col("pagina") == 1, first).otherwise(white).alias("pixeles"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tallyframe import schema
 from tallyframe.functions import checks, keys
-from tallyframe.operators import census, chain, compare, decode, layout, sheets, snapshots
+from tallyframe.kernels import ink
+from tallyframe.operators import boxes as box_ops
+from tallyframe.operators import census, chain, compare, decode, extract, layout, sheets, snapshots, training
 from tallyframe.plans import bindings as b
 from tallyframe.plans.bindings import table
 from tallyframe.sources import manifest, readings
@@ -421,6 +424,102 @@ def regular_lines(spark, d):
     return layout.regular_lines(lines, "l_suppkey", "l_partkey", 3, 1, 20)
 
 
+@query("""WITH c AS (SELECT p_partkey, (p_size % 9)::INT AS a, (p_partkey % 10 + 1)::INT AS b FROM part) SELECT p_partkey, round(100.0::DOUBLE * a * b / 396, 4) AS tinta,
+CASE WHEN a = 0 THEN 'vacio' WHEN a / 20.0 < 0.18 AND b / 20.0 > 2.2 * (a / 20.0) THEN 'guion' WHEN a < 6 THEN 'punto' WHEN a >= 8 THEN 'digito' ELSE 'marca' END AS tipo FROM c""")
+def crop_types(spark, d):
+    rows = b.crops(spark, d).select("p_partkey", F.round(ink.ink_column("pixeles", "alto"), 4).alias("tinta"), F.explode_outer(ink.blocks_column("pixeles", "alto")).alias("x"))
+    return rows.select("p_partkey", "tinta", checks.block_type(F.col("x.ancho"), F.col("x.alto"), F.col("x.relleno")).alias("tipo"))
+
+
+_SHEETS = """s AS (SELECT s_suppkey::VARCHAR AS mesa, s_suppkey % 5 AS k, s_suppkey % 4 AS a FROM supplier)"""
+
+
+@query(f"""WITH {_SHEETS} SELECT mesa, (k > 0)::INT AS ok, CASE k WHEN 0 THEN 0 WHEN 1 THEN 10 WHEN 2 THEN 20 ELSE 21 END AS n_casillas, CASE WHEN k > 0 THEN 1 END AS uso_plantilla,
+CASE k WHEN 0 THEN 'EXCEPCIÓN: page without pixels' WHEN 1 THEN 'nivelacion por respaldo (plantilla)' ELSE 'nivelacion por respaldo (plantilla) | agregados por respaldo (plantilla)' END AS aviso,
+CASE WHEN k > 0 THEN round(100.0::DOUBLE * 30 * a / 1909, 2) END AS tinta_cand_03, CASE WHEN k > 0 THEN (a > 0)::INT END AS tiene_cand_03, CASE WHEN k > 1 THEN 0.0 END AS tinta_SUMA_TOTAL, CASE WHEN k > 2 THEN 0.0 END AS tinta_CONSTANCIAS,
+CASE WHEN k > 0 THEN CASE WHEN a > 0 THEN 2 ELSE 1 END END AS n_banderas, CASE WHEN k > 0 THEN 'ALTA' END AS prioridad FROM s""")
+def batch_extraction(spark, d):
+    columns = ["mesa", "ok", "n_casillas", "uso_plantilla", "aviso", "tinta_cand_03", "tiene_cand_03", "tinta_SUMA_TOTAL", "tinta_CONSTANCIAS", "n_banderas", "prioridad"]
+    return extract.extract_sheets(b.pages(spark, d)).select(*columns)
+
+
+@query(f"""WITH {_SHEETS}, l AS (SELECT unnest(range(1, 14)) AS n), t AS (SELECT unnest(['TOTAL_E11', 'TOTAL_URNA', 'TOTAL_INCINERADOS', 'BLANCO', 'NULO', 'NO_MARCADO', 'SUMA_TOTAL']) AS etiqueta, unnest([1, 1, 1, 2, 2, 2, 2]) AS pagina),
+x AS (SELECT 'cand_' || lpad(n::VARCHAR, 2, '0') AS etiqueta, CASE WHEN n < 8 THEN 1 ELSE 2 END AS pagina FROM l UNION ALL SELECT * FROM t)
+SELECT mesa, etiqueta, CASE WHEN etiqueta = 'cand_03' AND a > 0 THEN 1 ELSE 0 END AS n_posiciones, CASE WHEN etiqueta <> 'cand_03' OR a = 0 THEN '' ELSE 'guion' END AS tipos_posicion,
+CASE WHEN etiqueta <> 'cand_03' OR a = 0 THEN 'casilla_vacia;espacio_sin_anular' ELSE 'contiene_guion' END AS banderas FROM s, x WHERE k > 0 AND x.pagina <= least(k, 2) UNION ALL SELECT mesa, 'ERROR', NULL, NULL, NULL FROM s WHERE k = 0""")
+def crop_export(spark, d):
+    found = extract.export_crops(b.pages(spark, d)).select(keys.parse_path("pdf")["mesa"].alias("mesa"), "etiqueta", "n_posiciones", "tipos_posicion", "banderas")
+    return found
+
+
+def _rows(values) -> str:
+    """A SQL list of rows; numbers as doubles."""
+    return "(VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{v!r}::DOUBLE" for v in row) + ")" for row in values) + ")"
+
+
+_SIZES = "SELECT p_partkey::VARCHAR AS pdf, 1000 + p_size * 13 AS ancho, (2000 + p_partkey % 97)::INT AS alto FROM part"
+
+
+def _sizes(spark, d):
+    return table(spark, d, "part").selectExpr("string(p_partkey) AS pdf", "1000 + p_size * 13 AS ancho", "int(2000 + p_partkey % 97) AS alto")
+
+
+@query(f"""SELECT pdf, etiqueta, floor(ancho * {schema.SECOND_ROUND_X[0]!r}::DOUBLE + 1e-9)::INT AS x0, floor(ancho * {schema.SECOND_ROUND_X[1]!r}::DOUBLE + 1e-9)::INT AS x1, floor(alto * y0 + 1e-9)::INT AS y0, floor(alto * y1 + 1e-9)::INT AS y1
+FROM ({_SIZES}), {_rows([(n, c - h / 2, c + h / 2) for n, c, h in schema.SECOND_ROUND])} r(etiqueta, y0, y1)""")
+def second_round_geometry(spark, d):
+    return box_ops.second_round_boxes(spark, _sizes(spark, d))
+
+
+@query(f"""WITH c AS (SELECT pdf, etiqueta, ancho, floor(ancho * {schema.FIRST_ROUND_X[0]!r}::DOUBLE)::INT + floor(ancho * 0.015::DOUBLE)::INT AS x, floor(alto * y0)::INT AS top, floor(alto * dy)::INT AS alto1
+FROM ({_SIZES}), {_rows([(n, a, e - a) for n, a, e in schema.FIRST_ROUND_AGGREGATES])} r(etiqueta, y0, dy)), i AS (SELECT *, floor(alto1 * 0.08::DOUBLE)::INT AS inset FROM c)
+SELECT pdf, etiqueta, x, top + inset AS y, floor(ancho * {schema.FIRST_ROUND_X[1]!r}::DOUBLE)::INT - floor(ancho * {schema.FIRST_ROUND_MARGIN!r}::DOUBLE)::INT - x AS w, alto1 - 2 * inset AS h FROM i""")
+def fallback_geometry(spark, d):
+    return box_ops.fallback_aggregates(_sizes(spark, d))
+
+
+@query("""SELECT l_orderkey AS pdf, count(*) FILTER (WHERE l_linenumber < 6) AS candidatos, count(*) FILTER (WHERE l_linenumber = 7) AS constancias,
+count(*) FILTER (WHERE l_linenumber < 6) = 5 AND count(*) FILTER (WHERE l_linenumber = 7) = 1 AS ok FROM lineitem GROUP BY l_orderkey""")
+def sheet_completeness(spark, d):
+    label = F.when(F.col("l_linenumber") < 6, F.concat(F.lit("cand_0"), F.col("l_linenumber"))).when(F.col("l_linenumber") == 7, schema.NOTES).otherwise("BLANCO")
+    return box_ops.complete(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("pdf"), label.alias("etiqueta")), candidates=5)
+
+
+@query("""SELECT o_orderkey AS pdf, coalesce(t < 1, TRUE) AS total_vacio FROM (SELECT *, CASE WHEN o_orderkey % 11 <> 0 THEN (o_orderkey % 5) * 0.5 END AS t FROM orders) WHERE o_orderkey % 7 = 0 OR o_orderkey % 9 IN (0, 1)""")
+def template_fallbacks(spark, d):
+    k = F.col("o_orderkey")
+    notice = F.when(k % 9 == 0, "Nivelacion por respaldo (PLANTILLA)").when(k % 9 == 1, "sin anclaje").when(k % 2 == 0, "otra cosa")
+    rows = table(spark, d, "orders").select(k.alias("pdf"), (k % 7 == 0).cast("int").alias("uso_plantilla"), notice.alias("aviso"), F.when(k % 11 != 0, k % 5 * 0.5).alias("tinta_SUMA_TOTAL"))
+    return box_ops.fell_back(rows).select("pdf", "total_vacio")
+
+
+# readers
+
+_NOW = f"(WITH {b.checked_sql('zero_all')} SELECT mesa, alerta FROM checked)"
+_BEFORE = f"(WITH {b.checked_sql('strict')} SELECT mesa, alerta FROM checked)"
+
+
+@query(f"SELECT mesa FROM {_NOW} n WHERE alerta = 'NINGUNA' AND mesa NOT IN (SELECT mesa FROM {_BEFORE} v WHERE alerta = 'NINGUNA')")
+def newly_reconciled(spark, d):
+    return training.newly_reconciled(_checked(spark, d), _checked(spark, d, "strict"), ["mesa"])
+
+
+@query(f"""WITH now AS {_NOW}, before AS {_BEFORE}, m AS (SELECT alerta AS medida, count(*) AS n FROM now GROUP BY 1 UNION ALL SELECT 'BASE', count(*) FROM before WHERE alerta = 'NINGUNA' HAVING count(*) > 0
+UNION ALL SELECT 'NUEVAS', count(*) FROM now WHERE alerta = 'NINGUNA' AND mesa NOT IN (SELECT mesa FROM before WHERE alerta = 'NINGUNA') HAVING count(*) > 0) SELECT medida, n, round(100.0::DOUBLE * n / (SELECT count(*) FROM now), 1) AS pct FROM m""")
+def reader_evaluation(spark, d):
+    return training.evaluate(_checked(spark, d), _checked(spark, d, "strict"), ["mesa"])
+
+
+@query("""WITH r AS (SELECT p_partkey, p_partkey % 50 AS mesa, CASE WHEN p_size < 25 THEN 'cand_01' ELSE 'CANDIDATO_01' END AS etiqueta_celda, (p_size * (p_partkey % 41))::VARCHAR AS v, unnest(range(3)) AS pos FROM part),
+x AS (SELECT *, CASE WHEN length(v) < 4 THEN substr(lpad(v, 3, '0'), pos + 1, 1) ELSE '' END AS sugerencia, (mesa IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 2 = 0))::INT AS confianza FROM r)
+SELECT p_partkey || '-' || pos AS caja, mesa, etiqueta_celda, CASE WHEN starts_with(etiqueta_celda, 'cand') THEN 'CAND' ELSE 'AGREG' END AS tipo, pos::INT AS pos, CASE WHEN confianza = 1 THEN sugerencia ELSE '' END AS etiqueta_digito, sugerencia, confianza FROM x""")
+def training_boxes(spark, d):
+    k = F.col("p_partkey")
+    names = F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda p: F.concat_ws("-", k.cast("string"), p.cast("string")))
+    rows = table(spark, d, "part").select((k % 50).alias("mesa"), F.when(F.col("p_size") < 25, "cand_01").otherwise("CANDIDATO_01").alias("etiqueta"), (F.col("p_size") * (k % 41)).alias("numero"), names.alias("cajas"))
+    trusted = table(spark, d, "supplier").where("s_nationkey % 2 = 0").select(F.col("s_suppkey").alias("mesa"))
+    return training.export_boxes(rows, trusted, ["mesa"]).withColumn("tipo", training.cell_type("etiqueta_celda"))
+
+
 # digits
 
 

@@ -30,3 +30,13 @@ PLACE = ["dep", "muni", "zona", "puesto"]
 TABLE = [*PLACE, "mesa"]
 #: Digits to which each code is padded.
 WIDTHS = {"dep": 2, "muni": 3, "zona": 3, "puesto": 2, "mesa": 3, "corporacion": 3}
+# The candidates' rows of the first form's pages 1 and 2 as (top, bottom), and the levelling rows, relative to the page.
+FIRST_ROUND_CANDIDATES = {
+    1: [(0.364, 0.445), (0.450, 0.529), (0.535, 0.614), (0.620, 0.700), (0.705, 0.785), (0.790, 0.870), (0.875, 0.955)],
+    2: [(0.251, 0.330), (0.335, 0.415), (0.421, 0.500), (0.506, 0.586), (0.592, 0.672), (0.677, 0.757)],
+}
+FIRST_ROUND_LEVELLING = [("TOTAL_E11", 0.243, 0.275), ("TOTAL_URNA", 0.275, 0.299), ("TOTAL_INCINERADOS", 0.299, 0.329)]
+# The centres of a box's three digits, by cell type, and the width of a digit's window, relative to the box.
+DIGIT_CENTRES = {"CAND": (0.31, 0.57, 0.82), "AGREG": (0.19, 0.50, 0.79)}
+DIGIT_WINDOW = 0.26
+NOTES = "CONSTANCIAS"
