@@ -37,7 +37,7 @@ def _tokenizers(path: str):
 class ChunkIds:
     """Ids of texts, as unsigned 32-bit integers. Remembers about ``limit`` chunks."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 250_000):
         import numpy as np
 
         (self.whole, self.plain), self.limit, self.known = _tokenizers(path), limit, {"": b""}
@@ -145,7 +145,7 @@ def token_counts(path: str, texts) -> list[int]:
     return (ends[1:] - ends[:-1]).tolist()
 
 
-def portions(column, most: int = 1 << 23):
+def portions(column, most: int = 1 << 22):
     """Slices of an Arrow column of texts of up to about ``most`` bytes; a longer text is a slice of its own."""
     import numpy as np
     import pyarrow.compute as pc
