@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.line_dedup import line_dedup
 from tallyframe.llm.mixing import mix
-from tallyframe.llm.near_dedup import near_dedup
+from tallyframe.llm.near_dedup import NO_ID, near_dedup
 from tallyframe.llm.packing import pack
 from tallyframe.llm.quality import keep_good
-from tallyframe.llm.shared import documents, stored, text_of
+from tallyframe.llm.shared import documents, marked, stored, text_of
 
 #: Ids that several texts have are only broadcast up to this number.
 BROADCAST_IDS = 20_000
@@ -49,6 +49,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without an id, and rows whose id another text has too, are documents by id
     and text, so that unrelated texts don't go together; they rank behind all others.
+    Rows that stay are left where they lie; those that may go meet the ids that do.
     """
     mark = F.xxhash64(text_of("text"))
     shared = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("shared_id")).agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
@@ -57,8 +58,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _beside(docs, "doc_id", "text").join(shared, F.col("doc_id") == F.col("shared_id"), "left")
     own = F.xxhash64("doc_id", text_of("text")).bitwiseAND(F.lit(OWN_IDS - 1)).bitwiseOR(F.lit(OWN_IDS))
     rows = rows.select(F.when(F.col("doc_id").isNull() | F.col("shared_id").isNotNull(), own).otherwise(F.col("doc_id")).alias("near_id"), "text", "whole_row")
-    kept = near_dedup(rows, id_col="near_id").where("kept").select(F.col("doc_id").alias("near_kept_id")).distinct()
-    return rows.join(kept.hint("merge"), F.col("near_id") == F.col("near_kept_id"), "left_semi").select("whole_row.*")  # by sort and merge at every size
+    found = near_dedup(rows, id_col="near_id").groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("near_id")).agg(F.max("kept").alias("kept"))
+    gone = stored(found.where("NOT kept").select("near_id"), "near-gone")
+    rows = marked(rows.drop("text"), gone, ["near_id"])
+    rest = rows.where("maybe").join(gone.hint("merge"), "near_id", "left_anti")  # by sort and merge at every size
+    return rows.where("NOT maybe").select("whole_row.*").unionByName(rest.select("whole_row.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.llm.components import components
-from tallyframe.llm.shared import arrow_map, documents, spread_join, stored, text_of, worker_table
+from tallyframe.llm.shared import arrow_map, discard, documents, marked, spread_join, stored, text_of, worker_table
 
 BANDS, ROWS, WORDS = 32, 4, 5
 #: Coordinates of a candidate's sketch, and how many bits of each it has.
@@ -172,7 +172,9 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
     shared = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("high"), F.count(F.lit(1)).alias("held")).where("pivot < high")
     shared = stored(shared.select("key", "pivot", "held"), "near-shared")
     buckets = stored(spread_join(banded, shared, ["key"], "held", BANDS * total).drop("held"), "near-buckets")
-    sets = arrow_map(texts.join(buckets.select("id").distinct(), "id", "left_semi"), _sets, "id long, shingles array<long>, sketch array<long>")
+    candidates = stored(buckets.select("id").distinct(), "near-candidates")
+    read = marked(texts, candidates, ["id"]).where("maybe").select("id", "text")  # other texts don't travel
+    sets = arrow_map(read.join(candidates.hint("merge"), "id", "left_semi"), _sets, "id long, shingles array<long>, sketch array<long>")
     stars = buckets.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     stars = stored(similarities(stars, sets, percent), "near-stars")
     labels = components(stars.where("linked"))
@@ -198,6 +200,7 @@ def near_dedup(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_
         joined = components(across).select(F.col("id").alias("component"), F.col("component").alias("least"))
         singles = joined.join(labels, "component", "left_anti").select(F.col("component").alias("id"), F.col("least").alias("component"))
         labels = labels.join(joined, "component", "left").select("id", F.coalesce("least", "component").alias("component")).unionByName(singles)
+    discard(shared, buckets, candidates, sets, stars, parts, rest, more)
 
     named = classes.select("rep", "size").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "size", F.coalesce("component", "rep").alias("component"))
     named = named.groupBy("rep", "component").agg(F.sum("size").alias("size"))  # rows of one id may be of several classes

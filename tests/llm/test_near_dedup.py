@@ -1,9 +1,11 @@
 import random
+from pathlib import Path
 
 import numpy as np
 
 from tallyframe.llm import near_dedup as n
 from tallyframe.llm.components import components
+from tallyframe.llm.shared import shared_dir
 
 
 def plain_shingles(text):
@@ -96,3 +98,32 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(got[k] == 0 for k in range(61)) and all(got[1001 + k] == 1000 for k in range(50)) and got[2001] == 2000
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def shuffled(spark):
+    """Bytes that the session has written for shuffles so far."""
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    found = context.statusStore().executorList(True)
+    return sum(found.apply(k).totalShuffleWrite() for k in range(found.size()))
+
+
+def long_texts(rng, size):
+    """Texts of their own that don't compress well, and a near copy of the first as the last."""
+    texts = [" ".join(rng.randbytes(4).hex() for _ in range(2000)) for _ in range(size)]
+    return list(enumerate([*texts, texts[0] + " end"]))
+
+
+def test_texts_without_candidates_are_not_shuffled_and_unread_tables_go(spark):
+    rows = long_texts(random.Random(2), 300)
+    docs, folder = spark.createDataFrame(rows, "doc_id long, text string"), Path(shared_dir(spark).removeprefix("file://")) / "tallyframe"
+    names, limit = set(folder.glob("*")), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large for it
+    try:
+        before = shuffled(spark)
+        got = n.near_dedup(docs).collect()
+        assert shuffled(spark) - before < sum(len(t) for _, t in rows) / 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 300 for i, _ in rows}
+    assert {p.name.rpartition("-")[0] for p in set(folder.glob("*")) - names} == {"rows", "near-classes", "near-members", "edges", "labels"}

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import duckdb
@@ -11,6 +12,7 @@ from tallyframe.llm.shared import stored
 
 from test_line_dedup import brute as line_brute
 from test_near_dedup import brute as near_brute
+from test_near_dedup import long_texts, shuffled
 
 SF = "/root/testdata/sf0.001"
 P = pytest.importorskip("public_tokenizers")
@@ -82,3 +84,13 @@ def test_rows_without_an_id_of_their_own_go_one_by_one(spark, monkeypatch, most)
     rows = [(1, base), (None, base + " end"), (None, other), (7, third), (7, base + " close"), (8, "some words of its own"), (9, third + " end")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(p.near(spark, docs, SF).collect(), key=str) == sorted([rows[0], rows[2], rows[5], rows[6]], key=str)
+
+
+def test_near_shuffles_only_rows_that_may_go(spark):
+    last = (1 << 63) - 1  # the largest id, which stands for null in near_dedup
+    rows = [*long_texts(random.Random(3), 300), (last, "words that nothing else has here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = shuffled(spark)
+    got = p.near(spark, docs, SF).collect()
+    assert shuffled(spark) - before < sum(len(t) for _, t in rows) / 4
+    assert sorted(map(tuple, got)) == [r for r in rows if r[0] != 300]
