@@ -2,7 +2,9 @@
 
 ``pages`` has ``pdf, pagina`` (from 1)``, alto`` and ``pixeles`` (grey bytes in row
 order). A page is measured on its own, so nothing is shuffled before its boxes,
-some dozen short rows, meet those of the sheet's other pages. A page that can't
+some dozen short rows, meet those of the sheet's other pages. So a task measures
+the pages of its partition: hand them in over as many as keep all cores busy (of a
+small file of keys that images are made from, deal out the keys). A page that can't
 be measured gives one row with ``error``, which fails its sheet and no other.
 Pages beyond the third have no boxes.
 """
@@ -19,8 +21,9 @@ from tallyframe.functions import checks, keys
 from tallyframe.kernels import ink, shapes
 from tallyframe.schema import AGGREGATES, CANDIDATES, FIRST_ROUND_AGGREGATES, FIRST_ROUND_CANDIDATES, FIRST_ROUND_LEVELLING, FIRST_ROUND_MARGIN, FIRST_ROUND_X, LABELS, LEVELLING, NOTES
 
-#: Bytes of pages that a worker is handed at once.
+#: Bytes of pages that a worker is handed at once; rows, or bytes of crops, from which on it hands over what it has found.
 BATCH_BYTES = 64 << 20
+FOUND_ROWS, FOUND_BYTES = 2048, 8 << 20
 BOXES = "pdf string, pagina int, etiqueta string, x int, y int, w int, h int, tinta double, respaldo boolean, error string"
 CROPS = "pdf string, pagina int, etiqueta string, tinta double, n_posiciones int, tipos_posicion string, n_digitos int, banderas string, alto int, pixeles binary, error string"
 #: The labels of a page's rows, with its candidates' numbers and its table.
@@ -98,6 +101,7 @@ def _by_page(pages: DataFrame, rows, schema: str) -> DataFrame:
 
     def measured(batches):
         for batch in batches:
+            found, size = [], 0
             for pdf, number, height, pixels in zip(*(c.to_pylist() for c in batch.columns)):
                 try:
                     if pixels is None or height is None:
@@ -105,7 +109,12 @@ def _by_page(pages: DataFrame, rows, schema: str) -> DataFrame:
                     out = [{"pdf": pdf, "pagina": number, **r} for r in rows(pixels, height, number)]
                 except Exception as e:  # a page that can't be measured is a row of its own
                     out = [{"pdf": pdf, "pagina": number, "etiqueta": "ERROR", "error": str(e)[:100]}]
-                yield pa.RecordBatch.from_pylist(out, kind)
+                found += out
+                size += sum(len(r.get("pixeles") or b"") for r in out)
+                if len(found) >= FOUND_ROWS or size >= FOUND_BYTES:
+                    yield pa.RecordBatch.from_pylist(found, kind)
+                    found, size = [], 0
+            yield pa.RecordBatch.from_pylist(found, kind)
 
     return pages.select(F.col("pdf").cast("string"), F.col("pagina").cast("int"), F.col("alto").cast("int"), F.col("pixeles").cast("binary")).mapInArrow(measured, schema)
 

@@ -201,10 +201,19 @@ def _line(left, dark, wide):
     return F.concat(F.repeat(F.lit("FF"), F.lit(left)), F.repeat(F.lit("00"), dark), F.repeat(F.lit("FF"), F.lit(wide - left) - dark))
 
 
+#: Images of which one task makes and measures about so many.
+TASK_CROPS, TASK_PAGES = 16_384, 256
+
+
+def _dealt(rows, each, *by):
+    """Short rows in tasks of about ``each``, so that the images made of them are measured on all cores, however few files the rows lie in."""
+    return rows.repartition(max(1, -(-rows.count() // each)), *by)
+
+
 def crops(spark, sf_dir):
     """Crops of 20 x 24 pixels with one dark rectangle, by a part's size (its rows, 0 to 8) and key (its columns, 1 to 10)."""
     high, wide = (F.col("p_size") % 9).cast("int"), (F.col("p_partkey") % 10 + 1).cast("int")
-    return table(spark, sf_dir, "part").select("p_partkey", F.lit(20).alias("alto"), _grey(20, 24, [(5, None), (high, _line(5, wide, 24)), (F.lit(15) - high, None)]).alias("pixeles"))
+    return _dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"), TASK_CROPS, "p_partkey").select("p_partkey", F.lit(20).alias("alto"), _grey(20, 24, [(5, None), (high, _line(5, wide, 24)), (F.lit(15) - high, None)]).alias("pixeles"))
 
 
 def pages(spark, sf_dir):
@@ -213,4 +222,4 @@ def pages(spark, sf_dir):
     first = _grey(400, 300, [(225, None), (dark, _line(220, F.lit(30), 300)), (F.lit(175) - dark, None)])
     white = _grey(400, 300, [(400, None)])
     rows = table(spark, sf_dir, "supplier").select(k, F.concat(F.lit("r/D/01/002/003/04/"), k.cast("string"), F.lit("/a.pdf")).alias("pdf"), F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(3), (k % 5).cast("int"))))).alias("pagina"))
-    return rows.select("pdf", "pagina", F.lit(400).alias("alto"), F.when(k % 5 == 0, None).when(F.col("pagina") == 1, first).otherwise(white).alias("pixeles"))
+    return _dealt(rows, TASK_PAGES, "s_suppkey", "pagina").select("pdf", "pagina", F.lit(400).alias("alto"), F.when(k % 5 == 0, None).when(F.col("pagina") == 1, first).otherwise(white).alias("pixeles"))

@@ -4,6 +4,7 @@ import pytest
 from tallyframe.functions import checks
 from tallyframe.kernels import ink, shapes
 from tallyframe.operators import extract
+from tallyframe.plans import bindings
 from pyspark.sql import functions as F
 
 
@@ -185,3 +186,31 @@ def test_tables_are_read_between_their_lines():
 def test_empty_pages(spark):
     pages = spark.createDataFrame([], "pdf string, pagina int, alto int, pixeles binary")
     assert extract.extract_sheets(pages).count() == 0 and extract.export_crops(pages).count() == 0
+
+
+def sizes(rows):
+    return [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_images_of_one_small_file_are_made_in_many_tasks(spark):
+    pages, crops = bindings.pages(spark, "/root/testdata/sf0.1"), bindings.crops(spark, "/root/testdata/sf0.1")
+    for rows, n, most in ((pages, 2000, 512), (crops, 20_000, 16_384)):
+        dealt = sizes(rows)
+        assert sum(dealt) == n and max(dealt) < most
+    assert pages.select("pdf", "pagina").distinct().count() == 2000 and crops.select("p_partkey").distinct().count() == 20_000
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 15, 40])
+def test_spread_against_windows(size):
+    mask = np.random.default_rng(size).random((9, 31)) < 0.1
+    padded, back = np.pad(mask, ((0, 0), (size, size))), size // 2
+    want = np.stack([padded[:, size + x - back : 2 * size + x - back].any(1) for x in range(31)], 1)
+    assert (shapes.spread(mask, size, 1) == want).all() and (shapes.spread(mask.T, size, 0) == want.T).all() and shapes.spread(mask[:0], size, 0).shape == (0, 31)
+
+
+def test_lines_are_long_unbroken_rows():
+    g = np.full((40, 100), 255, np.uint8)
+    g[5, 60:] = g[20, :29] = g[20, 31:60] = g[30:32, 10:45] = 0
+    assert ink.horizontal_lines(g, 0.3, 1) == [5, 30] and ink.horizontal_lines(g, 0.29, 1) == [5, 20, 30] and ink.horizontal_lines(g, 0.5, 1) == []
+    row, first, last = ink.row_runs(g < 128)
+    assert list(zip(row, first, last)) == [(5, 60, 99), (20, 0, 28), (20, 31, 59), (30, 10, 44), (31, 10, 44)]
