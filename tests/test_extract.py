@@ -200,6 +200,15 @@ def test_images_of_one_small_file_are_made_in_many_tasks(spark):
     assert pages.select("pdf", "pagina").distinct().count() == 2000 and crops.select("p_partkey").distinct().count() == 20_000
 
 
+def test_crops_are_cut_in_many_tasks(spark):
+    crops = extract.export_crops(bindings.pages(spark, "/root/testdata/sf0.1")).persist()
+    dealt = sizes(crops)
+    assert sum(dealt) == 14_200 and max(dealt) < 4000
+    assert crops.where("n_posiciones > 0 AND length(pixeles) % alto = 0").count() == 600 and crops.where("pixeles IS NOT NULL").count() == 600
+    assert crops.where("etiqueta = 'ERROR'").count() == 200
+    crops.unpersist()
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 8, 15, 40])
 def test_spread_against_windows(size):
     mask = np.random.default_rng(size).random((9, 31)) < 0.1
