@@ -6,12 +6,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Positions of which one task takes about so many.
+TASK_POSITIONS = 1 << 19
+
+
+def distinct_positions(positions: DataFrame, key: str, at: str) -> DataFrame:
+    """Each position of a key once, all of a key in one task; tasks take about ``TASK_POSITIONS`` rows, so their memory doesn't grow with the table.
+
+    Copies of a position meet before those of its key do, so that only different
+    positions count towards a key's task.
+    """
+    rows = positions.select(key, at)
+    n = max(-(-rows.count() // TASK_POSITIONS), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(n, key, at).distinct().repartition(n, key)
+
+
 def runs(positions: DataFrame, key: str, at: str, gap: float) -> DataFrame:
-    """Positions that follow each other within ``gap``: start, end and number of each run."""
-    w = Window.partitionBy(key).orderBy(at)
+    """Positions that follow each other within ``gap``: start, end and number of each run; a null position is a run of its own, the last.
+
+    A run's row is its last position's, with what its first one was: windows over
+    one sort, as an aggregation would hold nearly as many runs as positions.
+    """
+    w = Window.partitionBy(key).orderBy(F.col(at).asc_nulls_last())
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     new = F.coalesce((F.col(at) - F.lag(at).over(w) > gap).cast("int"), F.lit(1))
-    grouped = positions.select(key, at).distinct().withColumn("_new", new).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return grouped.groupBy(key, "run").agg(F.min(at).alias("inicio"), F.max(at).alias("fin"), F.count(F.lit(1)).alias("n"))
+    rows = distinct_positions(positions, key, at).select(key, at, new.alias("_new"), F.row_number().over(w).cast("bigint").alias("_k"))
+    first = F.last(F.when(F.col("_new") == 1, F.struct(F.col(at).alias("at"), F.col("_k").alias("k"))), ignorenulls=True).over(so_far)
+    rows = rows.select(key, at, "_k", F.sum("_new").over(so_far).alias("run"), first.alias("_first"), F.lead("_new", 1, 1).over(w).alias("_end"))
+    return rows.where("_end = 1").select(key, "run", F.col("_first.at").alias("inicio"), F.col(at).alias("fin"), (F.col("_k") - F.col("_first.k") + 1).alias("n"))
 
 
 def regular_lines(lines: DataFrame, key: str, at: str, rows: int, low: float, high: float) -> DataFrame:

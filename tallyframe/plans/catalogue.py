@@ -420,7 +420,7 @@ def run_length_groups(spark, d):
 s AS (SELECT l_suppkey, l_partkey, greatest(g0, g1, g2) - least(g0, g1, g2) AS dispersion FROM g WHERE g0 > 1 AND g0 < 20 AND g1 > 1 AND g1 < 20 AND g2 > 1 AND g2 < 20)
 SELECT l_suppkey, l_partkey AS inicio, dispersion FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY dispersion, l_partkey) AS n FROM s) WHERE n = 1""")
 def regular_lines(spark, d):
-    lines = table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    lines = layout.distinct_positions(table(spark, d, "lineitem"), "l_suppkey", "l_partkey")
     return layout.regular_lines(lines, "l_suppkey", "l_partkey", 3, 1, 20)
 
 

@@ -177,3 +177,28 @@ def test_layout(spark):
     assert (best.inicio, best.dispersion) == (20, 0)
     boxes = spark.createDataFrame([("a", 0, 5), ("a", 50, 9), ("a", 100, 3), ("a", 300, 1)], "k string, y int, area int")
     assert sorted((r.y, r.area) for r in layout.nearest_kept(boxes, "k", "y", "area", 120).collect()) == [(50, 9), (300, 1)]
+
+
+def test_runs_of_odd_positions_equal_their_sql(spark, tmp_path):
+    import duckdb
+
+    from tallyframe.plans import catalogue
+
+    rows = [(k, x) for k in (1, 2, None) for x in (None, 5, 5, 8, 12, None, -1, 1 << 40)] + [(3, None), (4, 7)] + [(5, x * x // 7) for x in range(60)]
+    spark.createDataFrame(rows, "l_suppkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    for name in ("run_length_groups", "regular_lines"):
+        df = catalogue.queries()[name](spark, str(tmp_path))
+        want = db.sql(f"SELECT {', '.join(df.columns)} FROM ({catalogue.oracle_sql()[name]})").fetchall()
+        assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+
+
+def test_tasks_of_positions_do_not_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(layout, "TASK_POSITIONS", 1000, raising=False)
+    for n in (5000, 20_000):
+        rows = spark.range(n).selectExpr("id % 500 AS k", "id div 500 * 3 AS x")
+        found = layout.runs(rows.union(rows), "k", "x", 2)
+        dealt = [r.n for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.countDistinct("k")).collect()]
+        assert sum(dealt) == n and max(dealt) < 2500
+        assert "HashAggregate(keys=[k" not in found._jdf.queryExecution().executedPlan().toString().split("Window")[0]  # no map of all runs
